@@ -216,15 +216,26 @@ def end_rows(
     last: int,
     slice_col: str | None = None,
 ) -> DataFrame:
-    """The first and last rows of each key, with ranks ``_rank`` and ``_back`` from 1."""
-    if slice_col is not None:
-        df = end_rows(df, [*keys, slice_col], order, first, last).drop("_rank", "_back")
+    """The first and last rows of each key.
+
+    Adds ``_size`` (rows of the key) and the ranks ``_rank`` and ``_back``, which count
+    from 1 at either end.
+    """
     window = Window.partitionBy(*keys)
-    return df.withColumns(
+    size: Column = F.count(F.lit(1))
+    if slice_col is not None:
+        # The rows at the ends of the slices include those at the ends of the key.
+        df = end_rows(df, [*keys, slice_col], order, first, last)
+        df = df.withColumn("_part", F.when(F.col("_rank") == 1, F.col("_size")))
+        df = df.drop("_size", "_rank", "_back")
+        size = F.sum("_part")
+    ranked = df.withColumns(
         {
+            "_size": size.over(window),
             "_rank": F.row_number().over(window.orderBy(*order)),
-            "_size": F.count(F.lit(1)).over(window),
+            "_kept": F.count(F.lit(1)).over(window),
         }
-    ).select(
-        *df.columns, "_rank", (F.col("_size") - F.col("_rank") + 1).alias("_back")
-    ).filter((F.col("_rank") <= first) | (F.col("_back") <= last))
+    ).withColumn("_back", F.col("_kept") - F.col("_rank") + 1)
+    return ranked.filter((F.col("_rank") <= first) | (F.col("_back") <= last)).drop(
+        "_kept", "_part"
+    )

@@ -165,6 +165,7 @@ def track_quality(
         return F.max(F.when(F.col(rank) == position, F.col(alt)))
 
     ends = edge.groupBy(*keys).agg(
+        F.max("_size").alias("n"),
         *[at("_rank", i).alias(f"_a{i}") for i in (1, 2, 4, 6)],
         *[at("_back", i).alias(f"_z{i}") for i in (1, 3, 5)],
     )
@@ -177,8 +178,7 @@ def track_quality(
         F.col("_z5") > F.col("_z3"),
         F.col("_z3") > F.col("_z1"),
     ]
-    counts = points.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return counts.join(ends, list(keys)).select(
+    return ends.select(
         *keys,
         "n",
         F.coalesce(reduce(lambda a, b: a & b, rules), F.lit(False)).alias("quality"),
@@ -204,10 +204,9 @@ def collect_tracks(
         numbered = slices.running_total(
             rows.withColumn("_one", F.lit(1)), keys, order, "_one", "_n", slice_col
         )
-        group = [*keys, *([slice_col] if slice_col else []), "block"]
         return (
             numbered.withColumn("block", F.floor((F.col("_n") - 1) / block_rows))
-            .groupBy(*group)
+            .groupBy(*keys, "block")
             .agg(F.array_sort(F.collect_list(F.struct(*order, *fields))).alias("points"))
         )
 

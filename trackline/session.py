@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Cluster submissions override any of these with --conf; they are defaults, not requirements.
 DEFAULTS = {
@@ -33,12 +33,15 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{_checkpoint_root(spark)}/trackline-{uuid.uuid4().hex}"
 
 
-def checkpointed(df):
-    """Cut the lineage with a reliable checkpoint, so a lost executor loses no result."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(_checkpoint_root(df.sparkSession))
-    return df.checkpoint(eager=True)
+def materialized(df: DataFrame) -> DataFrame:
+    """Write ``df`` to a table in the shared folder and read it back.
+
+    For results that several branches of a plan use: they are computed once, a lost
+    executor loses nothing, and the planner knows the true size of what it reads.
+    """
+    path = f"{scratch_dir(df.sparkSession)}/table"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _checkpoint_root(spark: SparkSession) -> str:
