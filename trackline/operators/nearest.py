@@ -41,6 +41,32 @@ def nearest_place(
     Both sides are first rounded to ``decimals`` degrees; equal distances go to the first
     name. Points without a position get nulls.
     """
+    return nearest_places(
+        points,
+        places,
+        {prefix: (lat, lon)},
+        name=name,
+        place_lat=place_lat,
+        place_lon=place_lon,
+        decimals=decimals,
+    )
+
+
+def nearest_places(
+    rows: DataFrame,
+    places: DataFrame,
+    positions: dict[str, tuple[str, str]],
+    *,
+    name: str = "name",
+    place_lat: str = "lat",
+    place_lon: str = "lon",
+    decimals: int = 2,
+) -> DataFrame:
+    """``nearest_place`` for several positions per row, ``{prefix: (lat, lon)}``.
+
+    The candidates are worked out once for all positions, and the rows are not turned
+    into one row per position and back.
+    """
     spots = (
         places.select(
             F.col(name).alias("name"),
@@ -51,9 +77,22 @@ def nearest_place(
         .groupBy("lat", "lon")
         .agg(F.min("name").alias("name"))
     )
-    here = {"_lat": F.round(lat, decimals), "_lon": F.round(lon, decimals)}
-    located = points.withColumns(here).withColumn("_cube", _cube(F.col("_lat"), F.col("_lon")))
-    index = _candidates(located.select("_cube").na.drop().distinct(), spots)
+    rounded = {
+        prefix: (F.round(lat, decimals), F.round(lon, decimals))
+        for prefix, (lat, lon) in positions.items()
+    }
+    cubes = rows.select(
+        F.explode(F.array(*[_cube(*at) for at in rounded.values()])).alias("_cube")
+    )
+    index = _candidates(cubes.na.drop().distinct(), spots)
+    for prefix, at in rounded.items():
+        rows = _look_up(rows, index, prefix, *at)
+    return rows
+
+
+def _look_up(
+    rows: DataFrame, index: DataFrame, prefix: str, lat: Column, lon: Column
+) -> DataFrame:
     measured = F.transform(
         "_candidates",
         lambda spot: F.struct(
@@ -64,7 +103,8 @@ def nearest_place(
         ),
     )
     return (
-        located.join(index, "_cube", "left")
+        rows.withColumns({"_lat": lat, "_lon": lon, "_cube": _cube(lat, lon)})
+        .join(index, "_cube", "left")
         .withColumn("_best", F.array_min(measured))
         .withColumns({f"{prefix}_{f}": F.col(f"_best.{f}") for f in ("name", "lat", "lon", "km")})
         .drop("_cube", "_lat", "_lon", "_candidates", "_best")

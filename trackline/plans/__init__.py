@@ -1,6 +1,6 @@
 """Views over the given tables and the registered queries."""
 
-from trackline.plans import places, resample, tracks  # noqa: F401  (each registers its queries)
+from trackline.plans import places, reports, resample, routes, tracks  # noqa: F401  (register)
 from trackline.plans.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]

@@ -9,6 +9,7 @@ from trackline.operators import nearest
 from trackline.plans.registry import query
 from trackline.plans.tracks import features, sql_haversine, sql_round
 from trackline.plans.views import SQL, Inputs
+from trackline.session import materialized
 
 SQL["spots"] = (
     "places",
@@ -42,7 +43,8 @@ def rounded(df: DataFrame, *columns: str, decimals: int = 6) -> DataFrame:
     "features spots",
 )
 def _nearest_place(i: Inputs) -> DataFrame:
-    found = nearest.nearest_place(features(i), i.places(), lat="start_lat", lon="start_lon")
+    trips = materialized(features(i))
+    found = nearest.nearest_place(trips, i.places(), lat="start_lat", lon="start_lon")
     return rounded(
         found.select("entity", "seg", "place_name", "place_lat", "place_lon", "place_km"),
         "place_km",
