@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trackline.functions.sun import DAY, sun_times
+from trackline.operators.ranking import hashed_sample
+
 
 def most_frequent(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """The most frequent value per key; equal counts go to the smaller value."""
@@ -38,3 +41,63 @@ def label_fill(
         .withColumn(label, F.coalesce(label, "_guess"))
         .drop("_guess")
     )
+
+
+def daylight_features(
+    trips: DataFrame,
+    *,
+    start: Sequence[str] = ("t0", "start_lon", "start_lat"),
+    end: Sequence[str] = ("t1", "end_lon", "end_lat"),
+) -> DataFrame:
+    """Add for either end whether it is by day, and the days since sunrise and sunset."""
+    added = {}
+    for name, (t, lon, lat) in (("start", start), ("end", end)):
+        rise, set_ = sun_times(F.col(t), F.col(lon), F.col(lat))
+        by_day = F.when(rise.isNotNull(), ((rise < F.col(t)) & (F.col(t) <= set_)).cast("int"))
+        added |= {
+            f"{name}area": by_day,
+            f"{name}_sunrise": (F.col(t) - rise) / DAY,
+            f"{name}_sunset": (F.col(t) - set_) / DAY,
+        }
+    return trips.withColumns(added)
+
+
+def sigma_clip(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Drop rows more than three deviations off in any feature, clip the rest to two."""
+    parts = [
+        F.struct(F.avg(f).alias("mean"), F.stddev_pop(f).alias("sd")).alias(f) for f in features
+    ]
+    stats = df.agg(F.struct(*parts)).scalar()
+
+    def limits(feature: str, deviations: int) -> tuple[Column, Column]:
+        mean, sd = stats[feature]["mean"], stats[feature]["sd"]
+        return mean - sd * deviations, mean + sd * deviations
+
+    for feature in features:
+        df = df.filter(F.col(feature).between(*limits(feature, 3)))
+    clipped = {}
+    for feature in features:
+        low, high = limits(feature, 2)
+        clipped[feature] = F.least(F.greatest(F.col(feature), low), high)
+    return df.withColumns(clipped)
+
+
+def balance_sample(
+    trips: DataFrame,
+    *,
+    ratio: float = 3.5,
+    label: str = "type",
+    entity: str = "entity",
+    order: Sequence[str] = ("t0", "flight"),
+    seed: str = "",
+) -> DataFrame:
+    """All positive trips, and ``ratio`` times as many negative ones of different entities.
+
+    A negative entity is represented by its first trip; which entities are taken depends on
+    a hash of the entity, so the sample is the same in every run.
+    """
+    positive = trips.filter(F.col(label) == 1)
+    first = F.min_by(F.struct(*trips.columns), F.struct(*order)).alias("_row")
+    negative = trips.filter(F.col(label) == 0).groupBy(entity).agg(first).select("_row.*")
+    n = F.floor(positive.agg(F.count(F.lit(1))).scalar() * F.lit(ratio))
+    return positive.unionByName(hashed_sample(negative, entity, n, seed))

@@ -57,21 +57,26 @@ def quantiles(df: DataFrame, column: str, at: Sequence[float]) -> DataFrame:
     )
     levels = F.array(*[F.lit(k / EDGES) for k in range(1, EDGES)])
     edges = counts.agg(F.percentile_approx("x", levels)).scalar()
-    bucketed = counts.withColumn("_bucket", F.size(F.filter(edges, lambda e: e <= F.col("x"))))
+    n = counts.agg(F.sum("w")).scalar()
+    bucketed = (
+        counts.select("x", "w", edges.alias("_edges"), n.alias("_n"))
+        .withColumn("_bucket", F.size(F.filter("_edges", lambda e: e <= F.col("x"))))
+        .drop("_edges")
+    )
     earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         bucketed.groupBy("_bucket")
         .agg(F.sum("w").alias("_rows"))
         .withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
     )
-    n = counts.agg(F.sum("w")).scalar()
+    last = F.col("_n") - 1
     wanted = F.array(
         *[
             F.struct(
                 F.lit(q).alias("level"),
-                F.floor(F.lit(q) * (n - 1)).alias("low"),
-                F.ceil(F.lit(q) * (n - 1)).alias("high"),
-                (F.lit(q) * (n - 1)).alias("position"),
+                F.floor(F.lit(q) * last).alias("low"),
+                F.ceil(F.lit(q) * last).alias("high"),
+                (F.lit(q) * last).alias("position"),
             )
             for q in at
         ]

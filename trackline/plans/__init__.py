@@ -1,6 +1,13 @@
 """Views over the given tables and the registered queries."""
 
-from trackline.plans import places, reports, resample, routes, tracks  # noqa: F401  (register)
+from trackline.plans import (  # noqa: F401  (each registers its queries)
+    labelling,
+    places,
+    reports,
+    resample,
+    routes,
+    tracks,
+)
 from trackline.plans.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]
