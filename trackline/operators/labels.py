@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trackline.functions.sun import DAY, sun_times
+from trackline.functions.sun import DAY, sun
 from trackline.operators.ranking import hashed_sample
 
 
@@ -50,16 +50,17 @@ def daylight_features(
     end: Sequence[str] = ("t1", "end_lon", "end_lat"),
 ) -> DataFrame:
     """Add for either end whether it is by day, and the days since sunrise and sunset."""
+    ends = {"start": start, "end": end}
+    suns = {f"_{e}": sun(F.col(t), F.col(lon), F.col(lat)) for e, (t, lon, lat) in ends.items()}
     added = {}
-    for name, (t, lon, lat) in (("start", start), ("end", end)):
-        rise, set_ = sun_times(F.col(t), F.col(lon), F.col(lat))
-        by_day = F.when(rise.isNotNull(), ((rise < F.col(t)) & (F.col(t) <= set_)).cast("int"))
+    for name, (t, _, _) in ends.items():
+        rise, set_, time = F.col(f"_{name}.rise"), F.col(f"_{name}.set"), F.col(t)
         added |= {
-            f"{name}area": by_day,
-            f"{name}_sunrise": (F.col(t) - rise) / DAY,
-            f"{name}_sunset": (F.col(t) - set_) / DAY,
+            f"{name}area": ((rise < time) & (time <= set_)).cast("int"),
+            f"{name}_sunrise": (time - rise) / DAY,
+            f"{name}_sunset": (time - set_) / DAY,
         }
-    return trips.withColumns(added)
+    return trips.withColumns(suns).withColumns(added).drop(*suns)
 
 
 def sigma_clip(df: DataFrame, features: Sequence[str]) -> DataFrame:

@@ -228,7 +228,7 @@ def _roc_threshold(i: Inputs) -> DataFrame:
 
 @query("rf_metrics")
 def _rf_metrics(i: Inputs) -> DataFrame:
-    train, test = ml.split(materialized(ml.training_set(learnable(i), RATIO)))
+    train, test = ml.split(ml.training_set(materialized(learnable(i)), RATIO))
     return ml.compare(train, test, ["random_forest"], trees=TREES)
 
 
@@ -236,7 +236,7 @@ def _rf_metrics(i: Inputs) -> DataFrame:
 def _rf_label_fill(i: Inputs) -> DataFrame:
     """Labels of all flights, the unknown ones as a forest trained on the known ones says."""
     every = materialized(learnable(i))
-    train, _ = ml.split(materialized(ml.training_set(every, RATIO)))
+    train, _ = ml.split(ml.training_set(every, RATIO))
     forest = ml.classifier("random_forest", trees=TREES).fit(train)
     unknown = every.filter("type IS NULL").na.drop(subset=list(ml.FEATURES))
     guessed = ml.predict(forest, unknown).select("flight", F.col("predicted").alias("type"))
@@ -245,7 +245,7 @@ def _rf_label_fill(i: Inputs) -> DataFrame:
 
 @query("model_compare")
 def _model_compare(i: Inputs) -> DataFrame:
-    train, test = ml.split(materialized(ml.training_set(learnable(i), RATIO)))
+    train, test = ml.split(ml.training_set(materialized(learnable(i)), RATIO))
     return ml.compare(train, test, trees=TREES)
 
 
