@@ -1,6 +1,7 @@
 """Views over the given tables and the registered queries."""
 
 from trackline.plans import (  # noqa: F401  (each registers its queries)
+    feed,
     labelling,
     places,
     reports,
