@@ -39,9 +39,10 @@ def reject_report(messages: DataFrame, raw: str = "raw") -> DataFrame:
 
 
 def with_kind(messages: DataFrame, raw: str = "raw") -> DataFrame:
-    """Add protocol and, for extended squitters, message type as text."""
+    """Well-formed messages with protocol and, for extended squitters, type as text."""
     text = F.col(raw)
-    return messages.withColumns(
+    well_formed = text.rlike(f"^([0-9a-fA-F]{{{msg.SHORT}}}|[0-9a-fA-F]{{{msg.LONG}}})$")
+    return messages.filter(well_formed).withColumns(
         {
             "protocol": msg.protocol_name(msg.downlink_format(text)),
             "msg_type": msg.type_name(msg.type_code(text)),

@@ -2,6 +2,7 @@
 
 from trackline.plans import (  # noqa: F401  (each registers its queries)
     feed,
+    files,
     labelling,
     places,
     reports,

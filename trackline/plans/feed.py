@@ -159,7 +159,7 @@ SQL["kinds"] = (
     + " ".join(f"WHEN df = {k} THEN '{v}'" for k, v in msg.PROTOCOLS.items())
     + " END AS protocol, CASE WHEN df NOT IN (17, 18) THEN NULL "
     + " ".join(f"WHEN tc BETWEEN {a} AND {b} THEN '{v}'" for (a, b), v in msg.TYPES.items())
-    + " END AS msg_type FROM checked WHERE reject IS NULL",
+    + " END AS msg_type FROM checked WHERE reject IS DISTINCT FROM 'length'",
 )
 SQL["idents"] = (
     "checked",
@@ -172,7 +172,7 @@ SQL["idents"] = (
 
 
 def _kinds(i: Inputs) -> DataFrame:
-    return feed.with_kind(feed.feed_gate(messages(i)))
+    return feed.with_kind(messages(i))
 
 
 @query("feed_gate", "SELECT id, t, raw FROM checked WHERE reject IS NULL", "checked")
