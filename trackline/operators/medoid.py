@@ -138,8 +138,11 @@ def route_medoid(
     )
     # A busy route is spread over the salts; its distances are summed where they arise.
     salts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint")))
+    # Few bytes mean much work here, so the number of tasks must not follow the bytes.
+    tasks = int(coded.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     exact = (
         sequences.withColumn("_salt", _salt())
+        .repartition(tasks, *route, "_salt")
         .join(left.withColumn("_salt", salts), [*route, "_salt"])
         .groupBy(*route, F.col("_candidate").alias("code"))
         .agg(F.sum(F.col("w") * F.levenshtein("code", "_candidate")).alias("total"))

@@ -247,7 +247,7 @@ def _distinct_airlines(i: Inputs) -> DataFrame:
     "checked",
 )
 def _pair_latest(i: Inputs) -> DataFrame:
-    pairs = feed.pair_latest(feed.positions(messages(i)))
+    pairs = feed.pair_latest(materialized(feed.positions(messages(i))))
     return pairs.select(
         "entity", "t", F.col("even.t").alias("even_t"), F.col("odd_one.t").alias("odd_t")
     )
@@ -262,7 +262,9 @@ def _pair_latest(i: Inputs) -> DataFrame:
 )
 def _position_fix(i: Inputs) -> DataFrame:
     """Decoded positions are those the messages were made from, within 20 metres."""
-    fixes = feed.position_fix(feed.pair_latest(feed.positions(messages(i)), max_seconds=1))
+    fixes = feed.position_fix(
+        feed.pair_latest(materialized(feed.positions(messages(i))), max_seconds=1)
+    )
     truth = i.points().select(
         _hex(F.col("entity").cast("bigint") + 0x400000, 6).alias("entity"),
         (F.col("t") + 0.5).alias("t"),

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 # Cluster submissions override any of these with --conf; they are defaults, not requirements.
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.legacy.javaCharsets": "true",  # files in encodings other than Unicode
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
