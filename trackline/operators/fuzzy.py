@@ -112,8 +112,17 @@ def attach_model(
     model: str = "model",
     entry: str = "name",
 ) -> DataFrame:
-    """Each aircraft with a model once, with the dictionary entry of its match, or "else"."""
-    known = aircraft.filter(F.col(model).isNotNull()).dropDuplicates([key])
+    """Each aircraft with a model once, with the dictionary entry of its match, or "else".
+
+    Of several rows of an aircraft the least one is kept, by model and then the other columns.
+    """
+    others = [c for c in aircraft.columns if c not in (key, model)]
+    known = (
+        aircraft.filter(F.col(model).isNotNull())
+        .groupBy(key)
+        .agg(F.min(F.struct(model, *others)).alias("_row"))
+        .select(key, "_row.*")
+    )
     return (
         known.join(matches.select(model, "match"), model, "left")
         .join(dictionary.withColumnRenamed(entry, "match"), "match", "left")

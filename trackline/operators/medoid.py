@@ -143,7 +143,10 @@ def route_medoid(
     exact = (
         sequences.withColumn("_salt", _salt())
         .repartition(tasks, *route, "_salt")
-        .join(left.withColumn("_salt", salts), [*route, "_salt"])
+        .join(
+            left.withColumn("_salt", salts).repartition(tasks, *route, "_salt"),
+            [*route, "_salt"],
+        )
         .groupBy(*route, F.col("_candidate").alias("code"))
         .agg(F.sum(F.col("w") * F.levenshtein("code", "_candidate")).alias("total"))
     )

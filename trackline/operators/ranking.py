@@ -15,7 +15,6 @@ from trackline.operators import slices
 
 HASH_DIGITS = 4
 EDGES = 64
-SCORE_BUCKETS = 1024
 
 
 def top_by_count(df: DataFrame, key: str, n: int, out: str = "n") -> DataFrame:
@@ -47,6 +46,17 @@ def hashed_sample(df: DataFrame, key: str, n: Column, seed: str = "") -> DataFra
     return whole.unionByName(partly).drop("_hash", "_bucket", "_count", "_before")
 
 
+def _bucketed(counts: DataFrame, value: str) -> DataFrame:
+    """Distinct values with ``_bucket``, EDGES parts of about the same number of them."""
+    levels = [k / EDGES for k in range(1, EDGES)]
+    edges = counts.agg(F.percentile_approx(value, levels)).scalar()
+    return (
+        counts.select("*", edges.alias("_edges"))
+        .withColumn("_bucket", F.size(F.filter("_edges", lambda e: e <= F.col(value))))
+        .drop("_edges")
+    )
+
+
 def quantiles(df: DataFrame, column: str, at: Sequence[float]) -> DataFrame:
     """Exact quantiles with linear interpolation between neighbours, one row per level."""
     counts = (
@@ -55,19 +65,17 @@ def quantiles(df: DataFrame, column: str, at: Sequence[float]) -> DataFrame:
         .groupBy("x")
         .agg(F.count(F.lit(1)).alias("w"))
     )
-    levels = F.array(*[F.lit(k / EDGES) for k in range(1, EDGES)])
-    edges = counts.agg(F.percentile_approx("x", levels)).scalar()
-    n = counts.agg(F.sum("w")).scalar()
-    bucketed = (
-        counts.select("x", "w", edges.alias("_edges"), n.alias("_n"))
-        .withColumn("_bucket", F.size(F.filter("_edges", lambda e: e <= F.col("x"))))
-        .drop("_edges")
-    )
+    bucketed = _bucketed(counts, "x")
     earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         bucketed.groupBy("_bucket")
         .agg(F.sum("w").alias("_rows"))
-        .withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
+        .withColumns(
+            {
+                "_before": F.coalesce(F.sum("_rows").over(earlier), F.lit(0)),
+                "_n": F.sum("_rows").over(Window.partitionBy()),
+            }
+        )
     )
     last = F.col("_n") - 1
     wanted = F.array(
@@ -88,16 +96,17 @@ def quantiles(df: DataFrame, column: str, at: Sequence[float]) -> DataFrame:
     def touched(start: Column, rows: Column):
         return lambda q: covers(q["low"], start, rows) | covers(q["high"], start, rows)
 
-    before, rows = F.col("_before"), F.col("_rows")
     running = F.sum("w").over(
         Window.partitionBy("_bucket").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
     )
     start, w = F.col("_start"), F.col("w")
+    used = offsets.withColumn("_wanted", wanted).filter(
+        F.exists("_wanted", touched(F.col("_before"), F.col("_rows")))
+    )
     hits = (
-        bucketed.join(F.broadcast(offsets), "_bucket")  # at most EDGES rows
-        .filter(F.exists(wanted, touched(before, rows)))
-        .withColumn("_start", before + running - w)
-        .select("x", "w", "_start", F.explode(F.filter(wanted, touched(start, w))).alias("q"))
+        bucketed.join(F.broadcast(used), "_bucket")  # at most EDGES rows
+        .withColumn("_start", F.col("_before") + running - w)
+        .select("x", "w", "_start", F.explode(F.filter("_wanted", touched(start, w))).alias("q"))
     )
 
     def value(end: str) -> Column:
@@ -118,18 +127,15 @@ def quantiles(df: DataFrame, column: str, at: Sequence[float]) -> DataFrame:
 def roc_points(df: DataFrame, score: str, truth: str) -> DataFrame:
     """True and false positive rate for every distinct score used as the threshold.
 
-    ``score`` lies in 0..1, ``truth`` is 0 or 1.
+    ``truth`` is 0 or 1.
     """
     steps = df.groupBy(F.col(score).alias("threshold")).agg(
         F.sum(F.col(truth).cast("bigint")).alias("_pos"),
         F.sum(1 - F.col(truth).cast("bigint")).alias("_neg"),
     )
     total = steps.agg(F.struct(F.sum("_pos").alias("pos"), F.sum("_neg").alias("neg"))).scalar()
-    falling = steps.withColumns(
-        {
-            slices.SLICE: -F.floor(F.col("threshold") * SCORE_BUCKETS),
-            "_order": -F.col("threshold"),
-        }
+    falling = _bucketed(steps, "threshold").withColumns(
+        {slices.SLICE: -F.col("_bucket"), "_order": -F.col("threshold")}
     )
     for value, out in (("_pos", "tp"), ("_neg", "fp")):
         falling = slices.running_total(falling, [], ["_order"], value, out, slices.SLICE)

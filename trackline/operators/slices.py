@@ -19,42 +19,48 @@ from pyspark.sql import functions as F
 SLICE = "_slice"
 ROW_BUDGET = 4_000_000  # rows of one key that one task may sort
 MAX_HOT_KEYS = 100_000  # a key is hot only above n / MAX_HOT_KEYS rows, so no more can exist
-OVERSPLIT = 4  # slices per row budget, as rows are not spread evenly over time
+INTERVALS = 64  # time intervals of about equal row counts, each cut further if need be
+OVERSPLIT = 4  # slices per row budget, as rows are not quite even within an interval
 
 
 def hot_keys(
     df: DataFrame, keys: Sequence[str], t: str, row_budget: int = ROW_BUDGET
 ) -> DataFrame:
-    """Keys with more rows than ``row_budget``, their first time and slice width.
+    """Keys with more rows than ``row_budget``, and how to cut their time.
 
     A key also has to hold more than 1 / MAX_HOT_KEYS of all rows, so the result has at
     most MAX_HOT_KEYS rows whatever the data, and is safe to broadcast.
     """
-    sizes = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.min(t).cast("double").alias("_lo"),
-        F.max(t).cast("double").alias("_hi"),
-    )
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     total = sizes.agg(F.sum("_n")).scalar()
-    span, pieces = F.col("_hi") - F.col("_lo"), F.ceil(F.col("_n") / row_budget) * OVERSPLIT
-    return sizes.filter(F.col("_n") > F.greatest(F.lit(row_budget), total / MAX_HOT_KEYS)).select(
-        *keys, "_lo", (span / pieces).alias("_width")
+    large = sizes.filter(F.col("_n") > F.greatest(F.lit(row_budget), total / MAX_HOT_KEYS))
+    levels = [k / INTERVALS for k in range(INTERVALS + 1)]
+    return (
+        df.select(*keys, F.col(t).cast("double").alias("_t"))
+        .join(F.broadcast(large.select(*keys)), list(keys))
+        .groupBy(*keys)
+        .agg(
+            F.percentile_approx("_t", levels).alias("_edges"),
+            F.ceil(F.count(F.lit(1)) * OVERSPLIT / (row_budget * INTERVALS)).alias("_parts"),
+        )
     )
 
 
 def split_hot(df: DataFrame, t: str, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows of ordinary keys, rows of hot keys with a ``_slice`` column)."""
-    keys = [c for c in hot.columns if c not in ("_lo", "_width")]
+    keys = [c for c in hot.columns if c not in ("_edges", "_parts")]
     hot = F.broadcast(hot)
     cold = df.join(hot.select(*keys), keys, "left_anti")
-    width = F.col("_width")
+    time = F.col(t).cast("double")
+    interval = F.greatest(F.size(F.filter("_edges", lambda edge: edge <= time)), F.lit(1))
+    low, high = F.get("_edges", F.col("_k") - 1), F.get("_edges", F.col("_k"))
+    part = F.floor(F.try_divide(time - low, high - low) * F.col("_parts"))
+    part = F.greatest(F.least(F.coalesce(part, F.lit(0)), F.col("_parts") - 1), F.lit(0))
     sliced = (
         df.join(hot, keys)
-        .withColumn(
-            SLICE,
-            F.when(width > 0, F.floor((F.col(t) - F.col("_lo")) / width)).otherwise(F.lit(0)),
-        )
-        .drop("_lo", "_width")
+        .withColumn("_k", interval)
+        .withColumn(SLICE, F.col("_k") * F.col("_parts") + part)
+        .drop("_k", "_edges", "_parts")
     )
     return cold, sliced
 
