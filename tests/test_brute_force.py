@@ -130,7 +130,7 @@ def test_quantiles(spark, values):
 @pytest.mark.parametrize("n", [0, 1, 37, 500, 900])
 def test_hashed_sample_has_exactly_n_rows(spark, n):
     df = spark.range(500)
-    got = {r.id for r in ranking.hashed_sample(df, "id", F.lit(n)).collect()}
+    got = {r.id for r in ranking.hashed_sample(df, "id", n).collect()}
     import hashlib
 
     ranked = sorted(range(500), key=lambda k: hashlib.md5(str(k).encode()).hexdigest())

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -64,21 +65,21 @@ def daylight_features(
 
 
 def sigma_clip(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Drop rows more than three deviations off in any feature, clip the rest to two."""
-    parts = [
-        F.struct(F.avg(f).alias("mean"), F.stddev_pop(f).alias("sd")).alias(f) for f in features
-    ]
-    stats = df.agg(F.struct(*parts)).scalar()
+    """Drop rows more than three deviations off in any feature, clip the rest to two.
 
-    def limits(feature: str, deviations: int) -> tuple[Column, Column]:
-        mean, sd = stats[feature]["mean"], stats[feature]["sd"]
-        return mean - sd * deviations, mean + sd * deviations
-
-    for feature in features:
-        df = df.filter(F.col(feature).between(*limits(feature, 3)))
+    The two numbers per feature are fetched first, so the limits are constants that the
+    scan can filter by.
+    """
+    stats = df.agg(
+        *[F.struct(F.avg(f).alias("mean"), F.stddev_pop(f).alias("sd")).alias(f) for f in features]
+    ).first()
     clipped = {}
     for feature in features:
-        low, high = limits(feature, 2)
+        mean, sd = stats[feature]["mean"], stats[feature]["sd"]
+        if mean is None:  # no value at all
+            return df.limit(0)
+        df = df.filter(F.col(feature).between(mean - 3 * sd, mean + 3 * sd))
+        low, high = F.lit(mean - 2 * sd), F.lit(mean + 2 * sd)
         clipped[feature] = F.least(F.greatest(F.col(feature), low), high)
     return df.withColumns(clipped)
 
@@ -100,5 +101,5 @@ def balance_sample(
     positive = trips.filter(F.col(label) == 1)
     first = F.min_by(F.struct(*trips.columns), F.struct(*order)).alias("_row")
     negative = trips.filter(F.col(label) == 0).groupBy(entity).agg(first).select("_row.*")
-    n = F.floor(positive.agg(F.count(F.lit(1))).scalar() * F.lit(ratio))
+    n = math.floor(ratio * positive.count())
     return positive.unionByName(hashed_sample(negative, entity, n, seed))

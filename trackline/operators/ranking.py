@@ -23,7 +23,7 @@ def top_by_count(df: DataFrame, key: str, n: int, out: str = "n") -> DataFrame:
     return counts.orderBy(F.desc(out), key).limit(n)
 
 
-def hashed_sample(df: DataFrame, key: str, n: Column, seed: str = "") -> DataFrame:
+def hashed_sample(df: DataFrame, key: str, n: int, seed: str = "") -> DataFrame:
     """Exactly ``n`` rows, those with the smallest hash of ``key``.
 
     ``n`` may be millions: whole hash buckets are taken by their counts, and only the
@@ -47,14 +47,14 @@ def hashed_sample(df: DataFrame, key: str, n: Column, seed: str = "") -> DataFra
 
 
 def _bucketed(counts: DataFrame, value: str) -> DataFrame:
-    """Distinct values with ``_bucket``, EDGES parts of about the same number of them."""
+    """Distinct values with ``_bucket``, EDGES parts of about the same number of them.
+
+    Only the edges between the parts come to the driver.
+    """
     levels = [k / EDGES for k in range(1, EDGES)]
-    edges = counts.agg(F.percentile_approx(value, levels)).scalar()
-    return (
-        counts.select("*", edges.alias("_edges"))
-        .withColumn("_bucket", F.size(F.filter("_edges", lambda e: e <= F.col(value))))
-        .drop("_edges")
-    )
+    edges = counts.agg(F.percentile_approx(value, levels)).first()[0] or []
+    below = F.filter(F.array(*map(F.lit, edges)), lambda e: e <= F.col(value))
+    return counts.withColumn("_bucket", F.size(below))
 
 
 def quantiles(df: DataFrame, column: str, at: Sequence[float]) -> DataFrame:

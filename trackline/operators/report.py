@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -165,10 +166,10 @@ def histogram(
 ) -> DataFrame:
     """Counts and densities over equal bins between minimum and maximum, the same per group."""
     known = df.select(*by, F.col(column).cast("double").alias("_x")).filter("_x IS NOT NULL")
-    range_ = known.agg(F.struct(F.min("_x").alias("lo"), F.max("_x").alias("hi"))).scalar()
-    width = (range_["hi"] - range_["lo"]) / bins
-    position = F.floor((F.col("_x") - range_["lo"]) / F.nullif(width, F.lit(0.0)))
-    bin_ = F.coalesce(F.least(position, F.lit(bins - 1)), F.lit(0)).cast("bigint")
+    lo, hi = known.agg(F.min("_x"), F.max("_x")).first()
+    lo, width = lo or 0.0, ((hi or 0.0) - (lo or 0.0)) / bins
+    position = F.floor((F.col("_x") - lo) / width) if width else F.lit(0)
+    bin_ = F.least(position, F.lit(bins - 1)).cast("bigint")
     counts = known.groupBy(*by, bin_.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     sizes = counts.groupBy(*by).agg(F.sum("n").alias("_all"))
     joined = counts.join(sizes, list(by)) if by else counts.withColumn(
@@ -177,7 +178,7 @@ def histogram(
     return joined.select(
         *by,
         "bin",
-        (range_["lo"] + F.col("bin") * width).alias("lo"),
+        (F.lit(lo) + F.col("bin") * width).alias("lo"),
         "n",
         F.try_divide(F.col("n"), F.col("_all") * width).alias("density"),
     )
@@ -191,32 +192,26 @@ def kernel_density(df: DataFrame, column: str, points: int = KDE_POINTS) -> Data
     """
     values = df.select(F.col(column).cast("double").alias("x")).na.drop()
     counts = values.groupBy("x").agg(F.count(F.lit(1)).alias("w"))
-    stats = values.agg(
-        F.struct(
-            F.min("x").alias("lo"),
-            F.max("x").alias("hi"),
-            F.count("x").cast("double").alias("n"),
-            F.stddev_samp("x").alias("sd"),
+    lo, hi, n, sd = values.agg(
+        F.min("x"), F.max("x"), F.count("x"), F.stddev_samp("x")
+    ).first()
+    if not sd:  # no value, or only one
+        return counts.limit(0).select(
+            F.lit(0).alias("point"), "x", F.col("x").alias("density")
         )
-    ).scalar()
-    span = stats["hi"] - stats["lo"]
-    first, step = stats["lo"] - span / 2, span * 2 / (points - 1)
-    bandwidth = stats["sd"] * F.pow(stats["n"], F.lit(-0.2))
-    weighted = counts.select("x", "w", first.alias("_first"), step.alias("_step"),
-                             bandwidth.alias("_h"), stats["n"].alias("_n"))
+    first, step = lo - (hi - lo) / 2, (hi - lo) * 2 / (points - 1)
+    bandwidth = sd * n**-0.2
+    norm = n * bandwidth * math.sqrt(2 * math.pi)
 
     def bump(k: int) -> Column:
-        z = (F.col("x") - (F.col("_first") + F.col("_step") * k)) / F.col("_h")
+        z = (F.col("x") - (first + step * k)) / bandwidth
         return F.sum(F.col("w") * F.exp(z * z / -2))
 
-    sums = weighted.groupBy("_first", "_step", "_h", "_n").agg(
-        F.array(*[bump(k) for k in range(points)]).alias("_sums")
-    )
-    at = F.col("_first") + F.col("_step") * F.col("point")
-    norm = F.col("_n") * F.col("_h") * F.sqrt(F.lit(2) * F.pi())
-    return (
-        sums.select("*", F.posexplode("_sums").alias("point", "_sum"))
-        .select("point", at.alias("x"), (F.col("_sum") / norm).alias("density"))
+    sums = counts.agg(F.array(*[bump(k) for k in range(points)]).alias("_sums"))
+    return sums.select(F.posexplode("_sums").alias("point", "_sum")).select(
+        "point",
+        (F.lit(first) + F.col("point") * step).alias("x"),
+        (F.col("_sum") / norm).alias("density"),
     )
 
 
