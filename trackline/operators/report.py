@@ -14,13 +14,14 @@ KDE_POINTS = 100
 
 
 def day(t: str) -> Column:
-    """UTC date of an epoch second, as text."""
-    return F.date_format(F.timestamp_seconds(F.floor(t)), "yyyy-MM-dd")
+    """UTC date of an epoch second, as text; no session time zone is involved."""
+    days = F.floor(F.col(t) / 86400).cast("int")
+    return F.date_add(F.lit("1970-01-01").cast("date"), days).cast("string")
 
 
-def hour(t: str) -> Column:
-    """Epoch second of the full hour before."""
-    return F.floor(F.col(t) / 3600) * 3600
+def floor_time(t: str, step: int) -> Column:
+    """The last multiple of ``step`` seconds, such as the full hour, up to a time."""
+    return F.floor(F.col(t) / step) * step
 
 
 def type_name(label: str) -> Column:
@@ -44,7 +45,8 @@ def airline_by_day(
 
 
 def hourly_counts(trips: DataFrame, *, keys: Sequence[str], t: str = "t1") -> DataFrame:
-    return trips.groupBy(hour(t).alias("hour"), *keys).agg(F.count(F.lit(1)).alias("trips"))
+    """Trips per full hour and ``keys``."""
+    return trips.groupBy(floor_time(t, 3600).alias("hour"), *keys).agg(F.count(F.lit(1)).alias("trips"))
 
 
 def place_volume(
@@ -128,6 +130,11 @@ def endpoint_events(
     return trips.select(*keep, F.inline(F.array(event("start", *start), event("end", *end))))
 
 
+def fixed_decimals(df: DataFrame, columns: Sequence[str], decimals: int = 3) -> DataFrame:
+    """Numbers as text with a fixed number of decimals."""
+    return df.withColumns({c: F.format_string(f"%.{decimals}f", F.col(c)) for c in columns})
+
+
 def time_extent(trips: DataFrame, *, start: str = "t0", end: str = "t1") -> DataFrame:
     """First, last and number of distinct whole seconds at which a trip starts or ends."""
     times = trips.select(F.explode(F.array(F.floor(start), F.floor(end))).alias("t"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trackline.operators import report
+from trackline.operators import report, routes
 from trackline.plans.registry import query
 from trackline.plans.views import Inputs
 from trackline.session import scratch_dir
@@ -48,6 +48,18 @@ def _json_export(i: Inputs) -> DataFrame:
     return readers.read_json_records(i.spark, path, schema)
 
 
+@query(
+    "place_export",
+    """SELECT to_json({'name': name, 'lon': printf('%.3f', lon), 'lat': printf('%.3f', lat)})::VARCHAR
+              AS json
+       FROM places WHERE kind NOT IN ('closed', 'heliport') AND continent = 'EU'""",
+    "places",
+)
+def _place_export(i: Inputs) -> DataFrame:
+    places = routes.place_filter(i.places()).select("name", "lon", "lat")
+    return writers.json_text(report.fixed_decimals(places, ["lon", "lat"]))
+
+
 @query(
     "positional_states",
     """SELECT id AS event, CAST(entity AS VARCHAR) AS id, event_type AS callsign, lon, lat,
