@@ -105,7 +105,6 @@ def interpolate(
     keys: Sequence[str] = TRIP,
     tick: str = "tick",
     values: Sequence[str] = VALUES,
-    step: int = 1,
     hot: DataFrame | None = None,
 ) -> DataFrame:
     """One row per tick of each trip, known values kept, the others on straight lines.
@@ -121,7 +120,7 @@ def interpolate(
     hot = slices.hot_keys(points, keys, tick) if hot is None else hot
     pairs = slices.per_key(points.select(*keys, tick, *values), tick, hot, compute)
     until = F.coalesce(F.col(f"_next_{tick}") - 1, F.col(tick))
-    blocks, ticks = ticks_between(F.col(tick), until, step)
+    blocks, ticks = ticks_between(F.col(tick), until)
     x0, x1 = F.col(tick), F.col(f"_next_{tick}")
     line = {
         c: F.when(F.col("_tick") == x0, F.col(c)).otherwise(
