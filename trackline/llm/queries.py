@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from trackline.llm import bpe, packing
+from trackline.llm import bpe, language, line_dedup, packing, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -28,7 +28,40 @@ def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every text, learned from labelled documents outside the held-out fifth."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = language.held_out(parts=5, part=0)
+    found = toxicity.score(docs, labels, ~held_out)
+    return found.withColumn("held_out", held_out)
+
+
 @query
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text and the text they decode to, as digests."""
     return bpe.digest_texts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, distance=2)
+
+
+@query
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents without the long lines that three or more documents share."""
+    found = line_dedup.dedupe_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+ORACLE["op8_line_dedup"] = line_dedup.sql()
+
+
+@query
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every text, learned from documents outside the held-out quarter."""
+    held_out = language.held_out()
+    found = language.identify(table(spark, sf_dir, "documents"), learn=~held_out)
+    return found.withColumn("held_out", held_out)
