@@ -7,7 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from trackline.llm import bpe, language, line_dedup, packing, simhash, toxicity
+from trackline.llm import (
+    bpe,
+    collision_search,
+    exact_search,
+    html_text,
+    language,
+    line_dedup,
+    packing,
+    secrets,
+    simhash,
+    toxicity,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -22,12 +33,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 @query
 def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 2048 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query
+def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors of every hundredth."""
+    return collision_search.search(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, k=10)
+
+
 @query
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every text, learned from labelled documents outside the held-out fifth."""
@@ -37,6 +60,17 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("held_out", held_out)
 
 
+@query
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every text: spans of fixed patterns and of random strings."""
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    counts = [secrets.count_of(F.col("base"), kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")]
+    everything = secrets.joined(F.array_sort(F.concat("base", "added")))
+    return found.select(
+        "doc_id", *counts, F.sha2(secrets.joined(F.col("base")), 256).alias("base_sha256"), everything.alias("spans")
+    )
+
+
 @query
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text and the text they decode to, as digests."""
@@ -65,3 +99,12 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = language.held_out()
     found = language.identify(table(spark, sf_dir, "documents"), learn=~held_out)
     return found.withColumn("held_out", held_out)
+
+
+@query
+def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five largest integer inner products of every fiftieth vector."""
+    return exact_search.search(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5)
+
+
+ORACLE["op10_top_k"] = exact_search.sql()
