@@ -204,6 +204,8 @@ def identify(
     ``learn`` tells which rows may be learned from; ``lang`` is read of those only.
     """
     models = train(docs, text, lang, key, learn, per_language)
+    others = [c for c in carry or [] if c not in (key, text)]
+    with_text = text in (carry or [])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in portions(batches, "text", 1 << 23):
@@ -216,16 +218,18 @@ def identify(
                     for n, pair in zip(known, models.predict(np.stack([features(texts[n]) for n in known]))):
                         found[n] = pair
                 columns = [pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.float64())]
+                whole_text = batch.column("text") if with_text else pa.nulls(batch.num_rows, pa.string())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("key"), *columns, batch.column("carried")], ["key", "lang_pred", "score", "carried"]
+                    [batch.column("key"), *columns, whole_text, batch.column("others")],
+                    ["key", "lang_pred", "score", "text", "others"],
                 )
 
-    named = docs.select(
-        F.col(key).alias("key"), F.col(text).alias("text"), F.struct(F.lit(1), *(carry or [])).alias("carried")
-    )
-    kind, carried = docs.schema[key].dataType.simpleString(), named.schema["carried"].dataType.simpleString()
-    done = named.mapInArrow(run, f"key {kind}, lang_pred string, score double, carried {carried}")
-    return done.select(F.col("key").alias(key), "lang_pred", "score", *(["carried"] if carry else []))
+    named = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.struct(F.lit(1), *others).alias("others"))
+    kind, carried = docs.schema[key].dataType.simpleString(), named.schema["others"].dataType.simpleString()
+    done = named.mapInArrow(run, f"key {kind}, lang_pred string, score double, text string, others {carried}")
+    place = {key: F.col("key"), text: F.col("text")} | {c: F.col("others")[c] for c in others}
+    bundle = [F.struct(*[place[c].alias(c) for c in carry]).alias("carried")] if carry else []
+    return done.select(F.col("key").alias(key), "lang_pred", "score", *bundle)
 
 
 def held_out(key: str = "doc_id", parts: int = 4, part: int = 2) -> Column:

@@ -48,24 +48,45 @@ STEPS = 20  # bins of probabilities for a factor of ten
 LAST_BIN = 20 * STEPS
 
 
-def running_sums(values: Column, block: int = 256) -> Column:
-    """Sums of an array of longs up to each element; in blocks, so that long arrays are not copied for each."""
-    none = F.array().cast("array<bigint>")
+def _sums(values: Column) -> Column:
+    """Sums of an array of longs up to each element. Copies the sums so far for each: for short arrays."""
+    return F.aggregate(
+        values,
+        F.array().cast("array<bigint>"),
+        lambda done, x: F.concat(done, F.array(F.coalesce(F.try_element_at(done, F.lit(-1)), F.lit(0)) + x)),
+    )
 
-    def sums(some: Column) -> Column:
-        return F.aggregate(
-            some, none, lambda done, x: F.concat(done, F.array(F.coalesce(F.try_element_at(done, F.lit(-1)), F.lit(0)) + x))
-        )
 
-    blocks = F.transform(
-        F.sequence(F.lit(0), ((F.size(values) - 1) / block).cast("int")),
-        lambda n: sums(F.slice(values, n * block + 1, F.lit(block))),
-    )
-    before = sums(F.transform(blocks, lambda b: F.element_at(b, -1)))
-    shifted = F.transform(
-        blocks, lambda b, n: F.transform(b, lambda x: x + F.when(n > 0, F.get(before, n - 1)).otherwise(F.lit(0)))
-    )
-    return F.when(F.size(values) > 0, F.flatten(shifted)).otherwise(none)
+def with_running_sums(rows: DataFrame, columns: dict[str, str], block: int = 256) -> DataFrame:
+    """For each array of longs its sums up to each element, under a new name.
+
+    Sums are taken within blocks first, and then over blocks, so that long arrays cost little more
+    than in proportion to their length.
+    """
+
+    def cut(old: str) -> Column:
+        numbers = F.sequence(F.lit(0), ((F.size(old) - 1) / block).cast("int"))
+        parts = F.transform(numbers, lambda n: _sums(F.slice(old, n * block + 1, F.lit(block))))
+        return F.when(F.size(old) > 0, parts).otherwise(F.array().cast("array<array<bigint>>"))
+
+    blocks = {f"{new}_blocks": cut(old) for new, old in columns.items()}
+    before = {
+        f"{new}_before": F.concat(
+            F.array(F.lit(0).cast("bigint")), _sums(F.transform(f"{new}_blocks", lambda b: F.element_at(b, -1)))
+        )
+        for new in columns
+    }
+    whole = {
+        new: F.flatten(
+            F.zip_with(
+                f"{new}_blocks",
+                F.slice(f"{new}_before", F.lit(1), F.size(f"{new}_blocks")),
+                lambda b, start: F.transform(b, lambda x: x + start),
+            )
+        )
+        for new in columns
+    }
+    return rows.withColumns(blocks).withColumns(before).withColumns(whole)
 
 
 def normal_tail(z: Column) -> Column:
@@ -83,38 +104,71 @@ def _tail(z: Column) -> Column:
     return F.when(z >= 0, normal_tail(bounded)).otherwise(1 - normal_tail(bounded))
 
 
-def randomness(text: Column, alphabet: Column) -> Column:
-    """Probability of so uneven a string, by the combined tests, if its symbols were random."""
-    n, k = F.length(text).cast("double"), F.length(alphabet).cast("double")
-    symbols = F.split(alphabet, "")
-    squares = F.aggregate(
-        symbols,
-        F.lit(0.0),
-        lambda done, c: done + F.pow(F.length(text) - F.length(F.replace(text, c, F.lit(""))), F.lit(2.0)),
-    )
-    chi = k / n * squares - n
-    uniform = _tail((chi - (k - 1)) / F.sqrt(2 * (k - 1) * (n - 1) / n))
-    halves = F.concat(F.repeat(F.lit("0"), (k / 2).cast("int")), F.repeat(F.lit("1"), (k / 2).cast("int")))
-    sides = F.array_join(F.transform(F.split(text, ""), lambda c: F.substr(halves, F.instr(alphabet, c), F.lit(1))), "")
-    changes = sum(
-        (F.length(sides) - F.length(F.replace(sides, F.lit(x), F.lit("")))) / 2 for x in ("01", "10")
-    )
-    runs = 2 * normal_tail(F.least(F.abs(changes - (n - 1) / 2) / (F.sqrt(n - 1) / 2), F.lit(12.0)))
-    values = F.transform(F.split(text, ""), lambda c: F.instr(alphabet, c) - 1 - (k - 1) / 2)
-    products = F.zip_with(
-        F.slice(values, F.lit(1), F.size(values) - 1), F.slice(values, F.lit(2), F.size(values) - 1), lambda x, y: x * y
-    )
-    together = F.aggregate(products, F.lit(0.0), lambda done, x: done + x)
-    serial = 2 * normal_tail(F.least(F.abs(together / ((k * k - 1) / 12) / F.sqrt(n - 1)), F.lit(12.0)))
-    logs = -(F.log(uniform) + F.log(F.least(runs, F.lit(1.0))) + F.log(F.least(serial, F.lit(1.0))))
-    return F.exp(-logs) * (1 + logs + logs * logs / 2)
+def _both_tails(z: Column) -> Column:
+    return F.least(2 * normal_tail(F.least(F.abs(z), F.lit(12.0))), F.lit(1.0))
 
 
-def _places(found: Column, gaps: Column) -> Column:
-    """Start and stop of each match, from the lengths of the texts before the matches."""
-    lengths = F.transform(found, lambda m: F.length(m).cast("bigint"))
-    steps = F.zip_with(F.slice(gaps, F.lit(1), F.size(found)), lengths, lambda g, m: g + m)
-    return F.zip_with(running_sums(steps), lengths, lambda end, m: F.struct((end - m).alias("start"), end.alias("stop")))
+def with_randomness(strings: Column) -> Column:
+    """For structs with s (a string) and others: s, others, size (length class) and bin (of the probability).
+
+    One transform after the other, so that what later formulas use several times is computed once.
+    """
+
+    def encoded(x: Column) -> Column:
+        text, alphabet = F.rtrim(x["s"], F.lit("=")), F.lit(None).cast("string")
+        for pattern, letters in reversed(ENCODINGS):
+            alphabet = F.when(F.rtrim(x["s"], F.lit("=")).rlike(pattern), F.lit(letters)).otherwise(alphabet)
+        return F.struct(x["p"].alias("p"), text.alias("s"), alphabet.alias("alphabet"))
+
+    def valued(x: Column) -> Column:
+        values = F.transform(F.split(x["s"], ""), lambda c: F.instr(x["alphabet"], c) - 1)
+        squares = F.aggregate(
+            F.split(x["alphabet"], ""),
+            F.lit(0.0),
+            lambda done, c: done + F.pow(F.length(x["s"]) - F.length(F.replace(x["s"], c, F.lit(""))), F.lit(2.0)),
+        )
+        n, k = F.length(x["s"]).cast("double"), F.length(x["alphabet"]).cast("double")
+        return F.struct(x["p"].alias("p"), n.alias("n"), k.alias("k"), squares.alias("squares"), values.alias("values"))
+
+    def paired(x: Column) -> Column:
+        following = F.slice(x["values"], F.lit(2), F.size(x["values"]) - 1)
+        middle = (x["k"] - 1) / 2
+        pairs = F.zip_with(
+            F.slice(x["values"], F.lit(1), F.size(x["values"]) - 1),
+            following,
+            lambda a, b: F.struct(
+                ((a - middle) * (b - middle)).alias("product"), F.when((a > middle) != (b > middle), 1).otherwise(0).alias("change")
+            ),
+        )
+        return F.struct(x["p"].alias("p"), x["n"].alias("n"), x["k"].alias("k"), x["squares"].alias("squares"), pairs.alias("pairs"))
+
+    def measured(x: Column) -> Column:
+        n, k = x["n"], x["k"]
+        chi = k / n * x["squares"] - n
+        changes = F.aggregate(x["pairs"], F.lit(0), lambda done, pair: done + pair["change"])
+        together = F.aggregate(x["pairs"], F.lit(0.0), lambda done, pair: done + pair["product"])
+        return F.struct(
+            x["p"].alias("p"),
+            F.floor(F.log2(n)).cast("int").alias("size"),
+            ((chi - (k - 1)) / F.sqrt(2 * (k - 1) * (n - 1) / n)).alias("uniform"),
+            ((changes - (n - 1) / 2) / (F.sqrt(n - 1) / 2)).alias("runs"),
+            (together / ((k * k - 1) / 12) / F.sqrt(n - 1)).alias("serial"),
+        )
+
+    def combined(x: Column) -> Column:
+        logs = -(F.log(_tail(x["uniform"])) + F.log(_both_tails(x["runs"])) + F.log(_both_tails(x["serial"])))
+        return F.struct(x["p"].alias("p"), x["size"].alias("size"), logs.alias("logs"))
+
+    def binned(x: Column) -> Column:
+        logs = x["logs"]
+        chance = -(F.log10(1 + logs + logs * logs / 2) - logs / F.lit(2.302585092994046))
+        number = F.least(F.floor(chance * STEPS), F.lit(LAST_BIN))
+        return F.struct(x["p"].alias("p"), x["size"].alias("size"), F.greatest(number, F.lit(0)).cast("int").alias("bin"))
+
+    known = F.filter(F.transform(strings, encoded), lambda x: x["alphabet"].isNotNull())
+    for step in (valued, paired, measured, combined, binned):
+        known = F.transform(known, step)
+    return known
 
 
 def _spans(places: Column, kind: str) -> Column:
@@ -148,12 +202,37 @@ def scan(
         rows = rows.withColumn(f"{kind}_found", found)
     values = F.regexp_extract_all("text", F.lit(ASSIGN), F.lit(2))
     rows = rows.withColumn("assign_values", F.when(F.size("assign_found") > 0, values).otherwise(no_strings))
-    for kind, pattern in patterns.items():
-        gaps = F.transform(F.split("text", pattern, -1), lambda x: F.length(x).cast("bigint"))
-        rows = rows.withColumn(f"{kind}_gaps", F.when(F.size(f"{kind}_found") > 0, gaps))
-    for kind in patterns:
-        places = F.when(F.size(f"{kind}_found") > 0, _places(F.col(f"{kind}_found"), F.col(f"{kind}_gaps")))
-        rows = rows.withColumn(f"{kind}_places", F.coalesce(places, F.array().cast("array<struct<start:bigint,stop:bigint>>")))
+    rows = rows.withColumns(
+        {
+            f"{kind}_gaps": F.when(
+                F.size(f"{kind}_found") > 0,
+                F.transform(F.split("text", pattern, -1), lambda x: F.length(x).cast("bigint")),
+            ).otherwise(F.array().cast("array<bigint>"))
+            for kind, pattern in patterns.items()
+        }
+    )
+    # each match ends after all texts before matches and all matches up to it
+    rows = rows.withColumns(
+        {
+            f"{kind}_steps": F.zip_with(
+                F.slice(f"{kind}_gaps", F.lit(1), F.size(f"{kind}_found")),
+                f"{kind}_found",
+                lambda gap, match: gap + F.length(match),
+            )
+            for kind in patterns
+        }
+    )
+    rows = with_running_sums(rows, {f"{kind}_ends": f"{kind}_steps" for kind in patterns})
+    rows = rows.withColumns(
+        {
+            f"{kind}_places": F.zip_with(
+                f"{kind}_ends",
+                f"{kind}_found",
+                lambda end, match: F.struct((end - F.length(match)).alias("start"), end.alias("stop")),
+            )
+            for kind in patterns
+        }
+    )
     valued = F.zip_with("assign_places", "assign_values", lambda p, v: F.struct(p.alias("p"), F.length(v).alias("n")))
     long_enough = F.transform(F.filter(valued, lambda x: x["n"] >= LEAST_VALUE), lambda x: x["p"])
     base = F.concat(
@@ -164,8 +243,7 @@ def scan(
     free = F.filter(
         tested, lambda x: ~F.exists("base", lambda b: (b["start"] < x["p"]["stop"]) & (x["p"]["start"] < b["stop"]))
     )
-    rows = rows.withColumn("tested", F.transform(free, _judged))
-    rows = rows.withColumn("tested", F.filter("tested", lambda x: x["bin"].isNotNull()))
+    rows = rows.withColumn("free", free).withColumn("tested", with_randomness(F.col("free")))
     rows = materialized(rows.select("key", "carried", "base", "tested"))
     cuts = _cuts(rows, share)
     table = F.create_map(*[F.lit(x) for pair in cuts.items() for x in pair]) if cuts else None
@@ -177,18 +255,6 @@ def scan(
     return rows.select(*columns, *(["carried"] if carry else []))
 
 
-def _judged(x: Column) -> Column:
-    """Place, length class and bin of the probability of one candidate."""
-    text = F.rtrim(x["s"], F.lit("="))
-    alphabet = F.lit(None).cast("string")
-    for pattern, letters in reversed(ENCODINGS):
-        alphabet = F.when(text.rlike(pattern), F.lit(letters)).otherwise(alphabet)
-    chance = randomness(text, alphabet)
-    bin_number = F.least(F.floor(-F.log10(F.greatest(chance, F.lit(1e-300))) * STEPS), F.lit(LAST_BIN)).cast("int")
-    size = F.floor(F.log2(F.length(text))).cast("int")
-    return F.struct(x["p"].alias("p"), size.alias("size"), F.greatest(bin_number, F.lit(0)).alias("bin"))
-
-
 def _cuts(rows: DataFrame, share: float) -> dict[int, int]:
     """Per length class the first bin that is rejected. A class has a bounded number of bins, classes are few."""
     counts = rows.select(F.explode("tested").alias("x")).groupBy("x.size", "x.bin").count()
