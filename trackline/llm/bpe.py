@@ -12,10 +12,10 @@ vocabulary's own special tokens are recognised inside texts, as the tokenizers l
 
 from __future__ import annotations
 
-import functools
 import hashlib
 import heapq
 import json
+import re
 import unicodedata
 from collections.abc import Iterable, Iterator
 
@@ -24,9 +24,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F
+from tokenizers import Tokenizer
 
 # What the vocabulary file states about normalisation and cutting.
-LETTER, DIGIT, BLANK = regex.compile(r"\p{L}"), regex.compile(r"\p{N}"), regex.compile(r"\p{White_Space}")
 CONTRACTIONS = ["s", "t", "re", "ve", "m", "ll", "d"]
 WORD_END = "</w>"
 
@@ -41,24 +41,34 @@ def byte_letters() -> list[str]:
 # Code points that no text holds: they stand for the end of a text and for special tokens.
 TEXT_END, SPECIAL = 0xDBFF, 0xD800
 OTHER_KIND, BLANK_KIND, LETTER_KIND, SINGLE_KIND = range(4)
+MARK = re.compile(f"([{chr(SPECIAL)}-{chr(TEXT_END)}])")
 
 
-@functools.cache
-def kinds() -> np.ndarray:
-    """For each code point: part of a run of letters, alone (numerals, special tokens), blank, or other."""
-    out = np.zeros(0x110000, np.uint8)
+# Where the Unicode versions of Python, of the regex module and of the library may differ, the library is asked.
+LETTER_OR_NUMERAL = regex.compile(r"[\p{L}\p{N}]")
+
+
+def code_points(cutter) -> tuple[np.ndarray, np.ndarray]:
+    """For each code point its kind: part of a run of letters, alone (numerals, special tokens), blank,
+    or other; and whether Python does not know it. ``cutter`` is the library's own way to cut a text."""
+    kind, unknown = np.zeros(0x110000, np.uint8), np.zeros(0x110000, bool)
     for point in range(0x110000):
-        if point not in range(0xD800, 0xE000):
-            letter = chr(point)
-            if LETTER.match(letter):
-                out[point] = LETTER_KIND
-            elif DIGIT.match(letter):
-                out[point] = SINGLE_KIND
-            elif BLANK.match(letter):
-                out[point] = BLANK_KIND
-    out[SPECIAL:TEXT_END] = SINGLE_KIND
-    out[TEXT_END] = BLANK_KIND
-    return out
+        letter = chr(point)
+        category = unicodedata.category(letter)
+        if category[0] == "L":
+            kind[point] = LETTER_KIND
+        elif category[0] == "N":
+            kind[point] = SINGLE_KIND
+        elif letter.isspace() and point not in range(0x1C, 0x20):  # Python's own blanks are not Unicode's
+            kind[point] = BLANK_KIND
+        elif category == "Cn":
+            unknown[point] = True
+            if LETTER_OR_NUMERAL.match(letter):
+                words = [word for word, _ in cutter.pre_tokenize_str(f"a{letter}{letter}!")]
+                kind[point] = SINGLE_KIND if len(words) == 4 else LETTER_KIND if len(words[-1]) == 1 else OTHER_KIND
+    kind[SPECIAL:TEXT_END] = SINGLE_KIND
+    kind[TEXT_END] = BLANK_KIND
+    return kind, unknown
 
 
 class Vocabulary:
@@ -67,6 +77,9 @@ class Vocabulary:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
             stated = json.load(file)
+        library = Tokenizer.from_file(path)
+        self.normalizer = library.normalizer
+        self.kinds, self.unknown = code_points(library.pre_tokenizer)
         model = stated["model"]
         ids = model["vocab"]
         self.specials = {x["content"]: x["id"] for x in stated["added_tokens"]}
@@ -192,7 +205,12 @@ class Encoder:
         if "<|" in joined:
             for token, mark in self.vocabulary.special_marks.items():
                 joined = joined.replace(token, mark)
-        if not joined.isascii() and not unicodedata.is_normalized("NFC", joined):
+        if joined.isascii():
+            return joined.lower()
+        if self.vocabulary.unknown[_points(joined)].any():
+            parts = MARK.split(joined)
+            return "".join([x if MARK.fullmatch(x) else self.vocabulary.normalizer.normalize_str(x) for x in parts])
+        if not unicodedata.is_normalized("NFC", joined):
             joined = unicodedata.normalize("NFC", joined)
         return joined.replace("Σ", "σ").lower()
 
@@ -202,8 +220,8 @@ class Encoder:
         Words without a code get the next one and are appended to ``fresh``.
         """
         joined = self._normalised(texts)
-        points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
-        starts, kind = word_starts(points)
+        points = _points(joined)
+        starts, kind = word_starts(points, self.vocabulary.kinds[points])
         lengths = np.diff(starts, append=len(points))
         is_word = kind != BLANK_KIND
         text_ends = np.flatnonzero(points == TEXT_END)
@@ -264,12 +282,15 @@ class Encoder:
             yield from np.split(ids, np.cumsum(counts)[:-1])
 
 
-def word_starts(points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def word_starts(points: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Where runs of one kind begin (words and blanks in turn), and their kinds.
 
     A lone apostrophe takes the letters of a contraction after it.
     """
-    kind = kinds()[points]
     border = np.empty(len(points), bool)
     border[:1] = True
     border[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == SINGLE_KIND)

@@ -140,7 +140,9 @@ def lines(page: str) -> list[Line]:
                     break
         elif name not in VOID:
             if name in {"p", "li", "dt", "dd", "tr", "td", "th", "option"}:
-                _close_same(open_elements, name)
+                if open_elements and open_elements[-1][0] == name:  # its end tag was left out
+                    open_elements.pop()
+                    _, apart, main = open_elements[-1] if open_elements else ("", False, False)
             words, hidden = _hints(attributes)
             inside_main = main or name in MAIN or bool(words & MAIN_WORDS and name in {"div", "section"})
             kept = name == "header" and main  # the head of the article itself
@@ -153,12 +155,6 @@ def lines(page: str) -> list[Line]:
     return out
 
 
-def _close_same(open_elements: list[tuple[str, bool, bool]], name: str) -> None:
-    """Elements whose end tag may be left out end where the next of their kind begins."""
-    if open_elements and open_elements[-1][0] == name:
-        open_elements.pop()
-
-
 def main_text(page: str | None, window: int = 3, rise: float = 0.2) -> str:
     """The lines between the surges and dives of a page, joined by a space."""
     found = lines(page or "")
