@@ -40,6 +40,20 @@ def test_the_large_entity_is_cut(points, hot):
     assert n > 700 and most <= 60
 
 
+def test_a_burst_is_cut(spark):
+    """All rows of a key at one time, and some before and after it."""
+    times = F.when(F.col("id") < 50, F.col("id")).when(F.col("id") < 1050, 100).otherwise(F.col("id"))
+    points = spark.range(1100).select(
+        "id", F.lit(1).alias("entity"), times.cast("double").alias("t"), (F.col("id") * 0.001).alias("lon"),
+        F.lit(2.0).alias("lat"), F.lit(3.0).alias("alt"),
+    )
+    cut = materialized(slices.hot_keys(points, ["entity"], "t", row_budget=100))
+    _, sliced = slices.split_hot(points, "t", cut)
+    assert sliced.groupBy(slices.SLICE).count().agg(F.max("count")).first()[0] <= 100
+    plain = tracks.segment_tracks(points, gap_seconds=20)
+    assert rows(plain) == rows(tracks.segment_tracks(points, gap_seconds=20, hot=cut))
+
+
 @pytest.mark.parametrize("align", ["own", "shifted"])
 def test_segments(points, hot, align):
     plain = tracks.segment_tracks(points, gap_seconds=86400, align=align)

@@ -22,7 +22,8 @@ from trackline.operators.tracks import ORDER, TRIP
 from trackline.session import materialized
 
 PIVOTS = 8
-SALTS = 32
+SALTS = 32  # parts of a route at least
+SALT_ROWS = 100_000  # sequences in a part, were they all of one route
 FIRST_SYMBOL = 0x100
 SURROGATES, SURROGATE_COUNT = 0xD800, 0x800
 LAST_SYMBOL = 0x10FFFF
@@ -38,9 +39,10 @@ def visited_cells(
     """Each grid cell a trip passes, as text, with the time of the first visit.
 
     ``cell`` gives the decimals each coordinate is rounded to. A trip cannot have more
-    rows here than the grid has cells.
+    rows here than the grid has cells. Points that lack a coordinate pass no cell.
     """
     cell = cell or {"lon": 1, "lat": 1}
+    points = points.na.drop(subset=list(cell))
     token = F.concat_ws(",", *[F.round(c, d).cast("string") for c, d in cell.items()])
     return (
         points.select(*keys, token.alias("token"), F.struct(*order).alias("at"))
@@ -120,7 +122,8 @@ def route_medoid(
     """
     route = list(route)
     sequences = materialized(coded.groupBy(*route, "code").agg(F.count(F.lit(1)).alias("w")))
-    measured = materialized(_measured(sequences, route, pivots))
+    parts = max(SALTS, -(-sequences.count() // SALT_ROWS))
+    measured = materialized(_measured(sequences, route, pivots, parts))
     totals = measured.groupBy(*route).agg(
         F.sum("w").alias("_n"),
         F.array(
@@ -137,11 +140,11 @@ def route_medoid(
         .select(*route, F.col("code").alias("_candidate"))
     )
     # A busy route is spread over the salts; its distances are summed where they arise.
-    salts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint")))
+    salts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(parts - 1).cast("bigint")))
     # Few bytes mean much work here, so the number of tasks must not follow the bytes.
     tasks = int(coded.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     exact = (
-        sequences.withColumn("_salt", _salt())
+        sequences.withColumn("_salt", _salt(parts))
         .repartition(tasks, *route, "_salt")
         .join(
             left.withColumn("_salt", salts).repartition(tasks, *route, "_salt"),
@@ -155,20 +158,20 @@ def route_medoid(
     return coded.join(exact.join(best, [*route, "total"]), [*route, "code"])
 
 
-def _salt() -> Column:
-    return F.pmod(F.xxhash64("code"), F.lit(SALTS))
+def _salt(parts: int) -> Column:
+    return F.pmod(F.xxhash64("code"), F.lit(parts).cast("bigint"))
 
 
-def _measured(sequences: DataFrame, route: list[str], pivots: int) -> DataFrame:
+def _measured(sequences: DataFrame, route: list[str], pivots: int, parts: int) -> DataFrame:
     """Each sequence with a lower bound of its total and its distances to the pivots."""
     bounded = materialized(_bounded(sequences, route))
     # The smallest bounds of a route are found within hashed parts of it first.
     by_bound = [F.col("_bound"), F.col("code")]
-    parts = Window.partitionBy(*route, "_salt").orderBy(*by_bound)
+    part = Window.partitionBy(*route, "_salt").orderBy(*by_bound)
     whole = Window.partitionBy(*route).orderBy(*by_bound)
     chosen = (
-        bounded.withColumn("_salt", _salt())
-        .withColumn("_rank", F.row_number().over(parts))
+        bounded.withColumn("_salt", _salt(parts))
+        .withColumn("_rank", F.row_number().over(part))
         .filter(F.col("_rank") <= pivots)
         .withColumn("_rank", F.row_number().over(whole))
         .filter(F.col("_rank") <= pivots)

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from trackline.operators import slices
 
 HASH_DIGITS = 4
-EDGES = 64
+EDGES = 64  # parts at least
+PART_ROWS = 1_000_000  # distinct values that one task should sort
 
 
 def top_by_count(df: DataFrame, key: str, n: int, out: str = "n") -> DataFrame:
@@ -27,9 +28,10 @@ def hashed_sample(df: DataFrame, key: str, n: int, seed: str = "") -> DataFrame:
     """Exactly ``n`` rows, those with the smallest hash of ``key``.
 
     ``n`` may be millions: whole hash buckets are taken by their counts, and only the
-    bucket in which ``n`` is reached is sorted.
+    bucket in which ``n`` is reached is sorted. A null key has a hash of its own.
     """
-    hashed = df.withColumn("_hash", F.md5(F.concat(F.col(key).cast("string"), F.lit(seed))))
+    text = F.coalesce(F.concat(F.col(key).cast("string"), F.lit(seed)), F.lit(f"null {seed}"))
+    hashed = df.withColumn("_hash", F.md5(text))
     hashed = hashed.withColumn("_bucket", F.substring("_hash", 1, HASH_DIGITS))
     counts = hashed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_count"))
     earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -47,11 +49,13 @@ def hashed_sample(df: DataFrame, key: str, n: int, seed: str = "") -> DataFrame:
 
 
 def _bucketed(counts: DataFrame, value: str) -> DataFrame:
-    """Distinct values with ``_bucket``, EDGES parts of about the same number of them.
+    """Distinct values with ``_bucket``, parts of about the same number of them.
 
-    Only the edges between the parts come to the driver.
+    There are EDGES parts, or as many as PART_ROWS asks for. Only the edges between the parts
+    come to the driver.
     """
-    levels = [k / EDGES for k in range(1, EDGES)]
+    parts = max(EDGES, -(-counts.count() // PART_ROWS))
+    levels = [k / parts for k in range(1, parts)]
     edges = counts.agg(F.percentile_approx(value, levels)).first()[0] or []
     below = F.filter(F.array(*map(F.lit, edges)), lambda e: e <= F.col(value))
     return counts.withColumn("_bucket", F.size(below))
@@ -104,7 +108,7 @@ def quantiles(df: DataFrame, column: str, at: Sequence[float]) -> DataFrame:
         F.exists("_wanted", touched(F.col("_before"), F.col("_rows")))
     )
     hits = (
-        bucketed.join(F.broadcast(used), "_bucket")  # at most EDGES rows
+        bucketed.join(F.broadcast(used), "_bucket")  # at most two parts for each quantile
         .withColumn("_start", F.col("_before") + running - w)
         .select("x", "w", "_start", F.explode(F.filter("_wanted", touched(start, w))).alias("q"))
     )

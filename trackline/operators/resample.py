@@ -23,12 +23,16 @@ def time_bucket(
     step: float = 1000,
     out: str = "tick",
 ) -> DataFrame:
-    """Snap each point to the nearest tick and keep the earliest one per tick."""
-    ticks = points.na.drop(subset=[*keys, order[0], *values]).withColumn(
+    """Snap each point to the nearest tick and keep the earliest known value of each column per tick.
+
+    Points without a key or a time are left out. A value that no point of the tick has is null.
+    """
+    ticks = points.na.drop(subset=[*keys, order[0]]).withColumn(
         out, F.round(F.col(order[0]) / step).cast("bigint")
     )
-    first = F.min_by(F.struct(*values), F.struct(*order)).alias("_first")
-    return ticks.groupBy(*keys, out).agg(first).select(*keys, out, "_first.*")
+    at = F.struct(*order)
+    first = [F.min_by(v, F.when(F.col(v).isNotNull(), at)).alias(v) for v in values]
+    return ticks.groupBy(*keys, out).agg(*first).select(*keys, out, *values)
 
 
 def ticks_between(first: Column, last: Column, step: int = 1) -> list[Column]:
@@ -55,7 +59,16 @@ def time_grid(
         F.min(t).cast("bigint").alias("_first"), F.max(t).cast("bigint").alias("_last")
     )
     blocks, ticks = ticks_between(F.col("_first"), F.col("_last"), step)
-    return extent.withColumn("_block", blocks).select(*keys, ticks.alias(out))
+    return _spread(extent.withColumn("_block", blocks), keys).select(*keys, ticks.alias(out))
+
+
+def _spread(blocks: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Deal blocks out before their ticks are made, as one trip may have very many.
+
+    Few bytes mean many ticks here, so the number of tasks must not follow the bytes.
+    """
+    tasks = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return blocks.repartition(tasks, *keys, "_block")
 
 
 def grid_join(
@@ -105,12 +118,17 @@ def interpolate(
     keys: Sequence[str] = TRIP,
     tick: str = "tick",
     values: Sequence[str] = VALUES,
+    carry: Sequence[str] = (),
+    within: tuple[int, int] | None = None,
     hot: DataFrame | None = None,
 ) -> DataFrame:
     """One row per tick of each trip, known values kept, the others on straight lines.
 
     Each point generates the ticks up to the next point itself. The rows equal those of
-    grid, join and fill, but only the points are shuffled and sorted, not the grid.
+    grid, join and fill, but only the points are shuffled and sorted, not the grid. A value
+    that a point lacks is null between it and its neighbours. ``carry`` names columns that are
+    the same for a whole trip. ``within`` asks for the ticks from the first to the last number
+    only; others are not made.
     """
 
     def compute(rows: DataFrame, slice_col: str | None) -> DataFrame:
@@ -118,9 +136,12 @@ def interpolate(
         return slices.neighbours(rows, keys, [tick], ahead, slice_col)
 
     hot = slices.hot_keys(points, keys, tick) if hot is None else hot
-    pairs = slices.per_key(points.select(*keys, tick, *values), tick, hot, compute)
-    until = F.coalesce(F.col(f"_next_{tick}") - 1, F.col(tick))
-    blocks, ticks = ticks_between(F.col(tick), until)
+    pairs = slices.per_key(points.select(*keys, tick, *values, *carry), tick, hot, compute)
+    begin, until = F.col(tick), F.coalesce(F.col(f"_next_{tick}") - 1, F.col(tick))
+    if within is not None:
+        begin, until = F.greatest(begin, F.lit(within[0])), F.least(until, F.lit(within[1]))
+        pairs = pairs.filter(begin <= until)
+    blocks, ticks = ticks_between(begin, until)
     x0, x1 = F.col(tick), F.col(f"_next_{tick}")
     line = {
         c: F.when(F.col("_tick") == x0, F.col(c)).otherwise(
@@ -128,10 +149,11 @@ def interpolate(
         )
         for c in values
     }
+    named = [v.alias(c) for c, v in line.items()]
     return (
-        pairs.withColumn("_block", blocks)
+        _spread(pairs.withColumn("_block", blocks), keys)
         .withColumn("_tick", ticks)
-        .select(*keys, F.col("_tick").alias(tick), *[v.alias(c) for c, v in line.items()])
+        .select(*keys, F.col("_tick").alias(tick), *named, *carry)
     )
 
 
@@ -146,18 +168,22 @@ def resampled_labelled(
     values: Sequence[str] = VALUES,
     step: int = 1000,
     decimals: int = 4,
+    at: int | None = None,
     hot: DataFrame | None = None,
 ) -> DataFrame:
     """Resampled points of the trips whose airline and type are known, ready to export.
 
-    ``ticks`` are the points after ``time_bucket``. Trips without a label are left out
-    before the grid is made.
+    ``ticks`` are the points after ``time_bucket``; ``airlines`` has one row per entity and
+    ``types`` one per airline. The points get their labels before the grid is made, so the grid
+    is not joined. ``at`` asks for the points of one whole second only.
     """
     labels = airlines.join(types, airline)
-    known = ticks.join(labels.select(entity), entity, "left_semi")
+    carry = [c for c in labels.columns if c != entity]
+    within = None if at is None else (-(-at // step), -(-(at + 1) // step) - 1)
     return (
-        interpolate(known, keys=keys, values=values, hot=hot)
-        .join(labels, entity)
+        interpolate(
+            ticks.join(labels, entity), keys=keys, values=values, carry=carry, within=within, hot=hot
+        )
         .withColumns({c: F.round(c, decimals) for c in values})
         .withColumn("t", F.col("tick") * step)
         .drop("tick")

@@ -18,49 +18,76 @@ from pyspark.sql import functions as F
 
 SLICE = "_slice"
 ROW_BUDGET = 4_000_000  # rows of one key that one task may sort
-MAX_HOT_KEYS = 100_000  # a key is hot only above n / MAX_HOT_KEYS rows, so no more can exist
 INTERVALS = 64  # time intervals of about equal row counts, each cut further if need be
 OVERSPLIT = 4  # slices per row budget, as rows are not quite even within an interval
+CUTS = ("_edges", "_parts", "_bursts")
+TIE = "id"  # orders rows of equal times; where it is a number, bursts are cut by it
 
 
 def hot_keys(
-    df: DataFrame, keys: Sequence[str], t: str, row_budget: int = ROW_BUDGET
+    df: DataFrame,
+    keys: Sequence[str],
+    t: str,
+    row_budget: int = ROW_BUDGET,
 ) -> DataFrame:
-    """Keys with more rows than ``row_budget``, and how to cut their time.
+    """Keys with more rows than ``row_budget``, and how to cut their rows by time.
 
-    A key also has to hold more than 1 / MAX_HOT_KEYS of all rows, so the result has at
-    most MAX_HOT_KEYS rows whatever the data, and is safe to broadcast.
+    Times that hold many rows of a key on their own (a default clock, a burst) are cut by
+    TIE. One row per hot key; there are at most as many as the budget goes into all rows.
+    Joins with it are left to Spark, which broadcasts it only while it is small.
     """
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = sizes.agg(F.sum("_n")).scalar()
-    large = sizes.filter(F.col("_n") > F.greatest(F.lit(row_budget), total / MAX_HOT_KEYS))
+    large = sizes.filter(F.col("_n") > row_budget)
     levels = [k / INTERVALS for k in range(INTERVALS + 1)]
-    return (
-        df.select(*keys, F.col(t).cast("double").alias("_t"))
-        .join(F.broadcast(large.select(*keys)), list(keys))
+    times = df.select(*keys, F.col(t).cast("double").alias("_t"), _tie(df).alias("_tie"))
+    times = times.join(large.select(*keys), list(keys))
+    cuts = times.groupBy(*keys).agg(
+        F.percentile_approx("_t", levels).alias("_edges"),
+        F.ceil(F.count(F.lit(1)) * OVERSPLIT / (row_budget * INTERVALS)).alias("_parts"),
+    )
+    bursts = (
+        times.groupBy(*keys, "_t")
+        .agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx("_tie", levels).alias("_ties"))
+        .filter(F.col("_n") > row_budget / OVERSPLIT)
         .groupBy(*keys)
-        .agg(
-            F.percentile_approx("_t", levels).alias("_edges"),
-            F.ceil(F.count(F.lit(1)) * OVERSPLIT / (row_budget * INTERVALS)).alias("_parts"),
-        )
+        .agg(F.collect_list(F.struct(F.col("_t").alias("t"), F.col("_ties").alias("ties"))).alias("_bursts"))
     )
+    none = F.array().cast("array<struct<t:double,ties:array<double>>>")
+    return cuts.join(bursts, list(keys), "left").withColumn("_bursts", F.coalesce("_bursts", none))
+
+
+def _tie(df: DataFrame) -> Column:
+    number = dict(df.dtypes).get(TIE) in ("int", "bigint", "double", "float", "smallint")
+    return F.col(TIE).cast("double") if number else F.lit(None).cast("double")
 
 
 def split_hot(df: DataFrame, t: str, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows of ordinary keys, rows of hot keys with a ``_slice`` column)."""
-    keys = [c for c in hot.columns if c not in ("_edges", "_parts")]
-    hot = F.broadcast(hot)
+    """(rows of ordinary keys, rows of hot keys with a ``_slice`` column).
+
+    Slices are in the order of time, and within a burst in the order of its ties.
+    """
+    keys = [c for c in hot.columns if c not in CUTS]
     cold = df.join(hot.select(*keys), keys, "left_anti")
     time = F.col(t).cast("double")
     interval = F.greatest(F.size(F.filter("_edges", lambda edge: edge <= time)), F.lit(1))
     low, high = F.get("_edges", F.col("_k") - 1), F.get("_edges", F.col("_k"))
     part = F.floor(F.try_divide(time - low, high - low) * F.col("_parts"))
     part = F.greatest(F.least(F.coalesce(part, F.lit(0)), F.col("_parts") - 1), F.lit(0))
+    burst = F.get(F.filter("_bursts", lambda b: b["t"] == time), F.lit(0))["ties"]
+    number = _tie(df)
+    piece = F.when(number.isNotNull(), F.size(F.filter(burst, lambda edge: edge <= number)))
     sliced = (
         df.join(hot, keys)
         .withColumn("_k", interval)
-        .withColumn(SLICE, F.col("_k") * F.col("_parts") + part)
-        .drop("_k", "_edges", "_parts")
+        .withColumn(
+            SLICE,
+            F.struct(
+                (F.col("_k") * F.col("_parts") + part).alias("part"),
+                F.size(F.filter("_bursts", lambda b: b["t"] < time)).alias("after"),
+                F.coalesce(piece, F.lit(-1)).alias("piece"),
+            ),
+        )
+        .drop("_k", *CUTS)
     )
     return cold, sliced
 

@@ -61,9 +61,9 @@ def payloads(i: Inputs) -> DataFrame:
     return i.models().withColumn("kg", report.parse_quantity("payload", 103000))
 
 
-def resampled(i: Inputs) -> DataFrame:
+def resampled(i: Inputs, at: int) -> DataFrame:
     return resample.resampled_labelled(
-        materialized(ticks(i)), i.airlines(), airline_types(i), step=STEP
+        materialized(ticks(i)), i.airlines(), airline_types(i), step=STEP, at=at
     )
 
 
@@ -155,7 +155,7 @@ def _volume_asof(i: Inputs) -> DataFrame:
 
 @query("snapshot", f"SELECT * FROM resampled WHERE floor(t) = {MIDDLE}", "resampled")
 def _snapshot(i: Inputs) -> DataFrame:
-    return report.snapshot(resampled(i), MIDDLE)
+    return report.snapshot(resampled(i, MIDDLE), MIDDLE)
 
 
 @query(
@@ -165,7 +165,7 @@ def _snapshot(i: Inputs) -> DataFrame:
     "resampled",
 )
 def _snapshot_airlines(i: Inputs) -> DataFrame:
-    return report.airline_bars(report.snapshot(resampled(i), MIDDLE), 0)
+    return report.airline_bars(report.snapshot(resampled(i, MIDDLE), MIDDLE), 0)
 
 
 @query(

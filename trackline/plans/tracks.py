@@ -9,6 +9,7 @@ from trackline.functions.geo import haversine_km
 from trackline.operators import slices, tracks
 from trackline.plans.registry import query
 from trackline.plans.views import SQL, Inputs
+from trackline.session import materialized
 
 # The given events are a day apart where transponder messages are seconds apart.
 GAP_SECONDS = 86400
@@ -59,7 +60,7 @@ SQL["features"] = (
 
 def hot(i: Inputs) -> DataFrame:
     """Entities too large for one task; their trips are the only ones that can be."""
-    return slices.hot_keys(i.points(), ["entity"], "t")
+    return i.once("hot", lambda: materialized(slices.hot_keys(i.points(), ["entity"], "t")))
 
 
 def segments(i: Inputs) -> DataFrame:
@@ -191,6 +192,6 @@ def _track_extent(i: Inputs) -> DataFrame:
 def _union_days(i: Inputs) -> DataFrame:
     """Early and late days read apart and put together again."""
     points = i.points()
-    early = points.filter(F.col("t") < 1705276800)
-    late = points.filter(F.col("t") >= 1705276800)
+    is_early = F.coalesce(F.col("t") < 1705276800, F.lit(False))  # no time: with the late ones
+    early, late = points.filter(is_early), points.filter(~is_early)
     return early.unionByName(late)

@@ -30,6 +30,12 @@ class Inputs:
             self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return self._tables[name]
 
+    def once(self, name: str, make) -> DataFrame:
+        """What ``make`` returns, made at the first call."""
+        if f"({name})" not in self._tables:
+            self._tables[f"({name})"] = make()
+        return self._tables[f"({name})"]
+
     def points(self) -> DataFrame:
         """One timestamped position per event; the user is the moving entity."""
         return self.table("events").select(

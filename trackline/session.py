@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -28,8 +29,9 @@ def scratch_dir(spark: SparkSession) -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 
     Every executor must see what another one wrote, so the folder named by
-    ``spark.checkpoint.dir`` is used. Only where nothing is set (a local run)
-    does a temporary folder stand in for it.
+    ``spark.checkpoint.dir`` is used. Only where driver and executors are one process
+    (a local master) does a temporary folder stand in for a missing one; elsewhere that
+    is an error.
     """
     return f"{_checkpoint_root(spark)}/trackline-{uuid.uuid4().hex}"
 
@@ -50,6 +52,13 @@ def _checkpoint_root(spark: SparkSession) -> str:
     if not configured:
         configured = spark.sparkContext.getCheckpointDir()
     if not configured:
-        configured = "file:" + tempfile.mkdtemp(prefix="trackline-")
-        spark.sparkContext.setCheckpointDir(configured)
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        configured = _local_folder()
     return configured.rstrip("/")
+
+
+@functools.cache
+def _local_folder() -> str:
+    return "file:" + tempfile.mkdtemp(prefix="trackline-")
