@@ -24,6 +24,13 @@ def top_by_count(df: DataFrame, key: str, n: int, out: str = "n") -> DataFrame:
     return counts.orderBy(F.desc(out), key).limit(n)
 
 
+def top_by_group(df: DataFrame, by: Sequence[str], key: str, n: int, out: str = "n") -> DataFrame:
+    """The ``n`` most frequent values of each group, equal counts in order of the value."""
+    counts = df.groupBy(*by, key).agg(F.count(F.lit(1)).alias(out))
+    rank = F.row_number().over(Window.partitionBy(*by).orderBy(F.desc(out), key))
+    return counts.withColumn("_rank", rank).filter(F.col("_rank") <= n).drop("_rank")
+
+
 def hashed_sample(df: DataFrame, key: str, n: int, seed: str = "") -> DataFrame:
     """Exactly ``n`` rows, those with the smallest hash of ``key``.
 

@@ -19,6 +19,11 @@ def day(t: str) -> Column:
     return F.date_add(F.lit("1970-01-01").cast("date"), days).cast("string")
 
 
+def year(t: str) -> Column:
+    """UTC year of an epoch second."""
+    return F.substring(day(t), 1, 4).cast("int")
+
+
 def floor_time(t: str, step: int) -> Column:
     """The last multiple of ``step`` seconds, such as the full hour, up to a time."""
     return F.floor(F.col(t) / step) * step
@@ -164,8 +169,10 @@ def clean_features(
     ).na.drop()
 
 
-def feature_means(trips: DataFrame, features: Sequence[str], label: str = "type") -> DataFrame:
-    return trips.groupBy(label).agg(*[F.avg(f).alias(f) for f in features])
+def feature_means(
+    trips: DataFrame, features: Sequence[str], label: str = "type", by: Sequence[str] = ()
+) -> DataFrame:
+    return trips.groupBy(*by, label).agg(*[F.avg(f).alias(f) for f in features])
 
 
 def histogram(

@@ -43,6 +43,24 @@ SQL["resampled"] = (
 )
 
 
+SQL["yearly"] = (
+    "trips",
+    """SELECT *, year(make_timestamp(CAST(t0 * 1000000 AS BIGINT))) AS year,
+              strftime(make_timestamp(CAST(t0 * 1000000 AS BIGINT)), '%Y-%m-%d') AS day
+       FROM trips WHERE type IS NOT NULL""",
+)
+SQL["top_yearly"] = (
+    "yearly",
+    """SELECT year, type, airline, count(*) AS n FROM yearly GROUP BY year, type, airline
+       QUALIFY row_number() OVER (PARTITION BY year, type ORDER BY count(*) DESC, airline) <= 5""",
+)
+SQL["clean_yearly"] = (
+    "yearly",
+    """SELECT year, flight, type, least(max_alt, 60000) AS max_alt, time, distance FROM yearly
+       WHERE time > 1800 AND time < 80000 AND distance >= 100 AND max_alt IS NOT NULL""",
+)
+
+
 def trips(i: Inputs) -> DataFrame:
     """Flights with airline, duration and distance."""
     ends = haversine_km(
@@ -53,6 +71,16 @@ def trips(i: Inputs) -> DataFrame:
     )
 
 
+def yearly(i: Inputs) -> DataFrame:
+    """Trips with a label, and their year."""
+    return trips(i).filter("type IS NOT NULL").withColumn("year", report.year("t0"))
+
+
+def clean_yearly(i: Inputs) -> DataFrame:
+    columns = ("year", "flight", "type", "max_alt", "time", "distance")
+    return report.clean_features(yearly(i).select(*columns))
+
+
 def clean(i: Inputs) -> DataFrame:
     return report.clean_features(trips(i).select("flight", "type", "max_alt", "time", "distance"))
 
@@ -329,3 +357,54 @@ def _top_owners(i: Inputs) -> DataFrame:
     return cargo.withColumn("whose", F.lit("cargo")).unionByName(
         every.withColumn("whose", F.lit("all"))
     )
+
+
+@query("top_airlines_by_year", "SELECT * FROM top_yearly", "top_yearly")
+def _top_airlines_by_year(i: Inputs) -> DataFrame:
+    """Five airlines of each label and year."""
+    return ranking.top_by_group(yearly(i), ["year", "type"], "airline", 5)
+
+
+@query(
+    "airline_by_day_by_year",
+    """SELECT year, type, airline, day, count(*) AS trips
+       FROM yearly SEMI JOIN top_yearly USING (year, type, airline) GROUP BY ALL""",
+    "yearly top_yearly",
+)
+def _airline_by_day_by_year(i: Inputs) -> DataFrame:
+    """Trips per day of the five airlines of each label and year."""
+    found = yearly(i)
+    top = ranking.top_by_group(found, ["year", "type"], "airline", 5)
+    return (
+        found.join(top.drop("n"), ["year", "type", "airline"], "left_semi")
+        .groupBy("year", "type", "airline", report.day("t0").alias("day"))
+        .agg(F.count(F.lit(1)).alias("trips"))
+    )
+
+
+@query(
+    "feature_means_by_year",
+    """SELECT year, type, round(avg(max_alt), 6) AS max_alt, round(avg(time), 6) AS time,
+              round(avg(distance), 6) AS distance FROM clean_yearly GROUP BY year, type""",
+    "clean_yearly",
+)
+def _feature_means_by_year(i: Inputs) -> DataFrame:
+    features = ("max_alt", "time", "distance")
+    return rounded(report.feature_means(clean_yearly(i), features, by=["year"]), *features)
+
+
+@query(
+    "histogram_by_year",
+    """SELECT year, type, bin, round(lo + bin * width, 6) AS lo, n,
+              round(n / (sum(n) OVER (PARTITION BY year, type) * width), 12) AS density
+       FROM (SELECT year, type, least(CAST(floor((distance - lo) / width) AS BIGINT), 9) AS bin,
+                    count(*) AS n, any_value(lo) AS lo, any_value(width) AS width
+             FROM clean_yearly, (SELECT min(distance) AS lo,
+                                        (max(distance) - min(distance)) / 10 AS width
+                                 FROM clean_yearly)
+             GROUP BY ALL)""",
+    "clean_yearly",
+)
+def _histogram_by_year(i: Inputs) -> DataFrame:
+    found = report.histogram(clean_yearly(i), "distance", 10, by=["year", "type"])
+    return rounded(rounded(found, "lo"), "density", decimals=12)
