@@ -181,3 +181,21 @@ def test_split_keeps_entities_together(spark):
 def test_no_hot_keys_in_ordinary_data(spark):
     df = spark.range(1000).selectExpr("id % 7 AS entity", "id AS t")
     assert slices.hot_keys(df, ["entity"], "t").count() == 0
+
+
+def test_nearest_place_does_not_pair_places_with_points(spark, monkeypatch):
+    """Pairs of cubes that are looked at stay of the order of the cubes, however many places there are."""
+    rng = random.Random(5)
+
+    def spots(n):
+        at = [(math.degrees(math.asin(rng.uniform(-1, 1))), rng.uniform(-180, 180)) for _ in range(n)]
+        return [(f"p{k}", *x) for k, x in enumerate(at)]
+
+    places = spark.createDataFrame(spots(8000), "name string, lat double, lon double")
+    points = spark.createDataFrame(spots(400), "id string, lat double, lon double")
+    counts, plain = [], nearest._nearest_only
+    monkeypatch.setattr(
+        nearest, "_nearest_only", lambda pairs, *rest: counts.append(pairs.count()) or plain(pairs, *rest)
+    )
+    assert nearest.nearest_place(points, places).where("place_name IS NULL").count() == 0
+    assert max(counts) < 400 * 8000 / 10

@@ -1,24 +1,25 @@
 """Nearest place of each point, exact, without comparing all points to all places.
 
 The sphere is laid into a 3-D grid of cubes, so poles and the date line need no special
-case. For each finest cube that holds a point, the places that can be nearest to any spot
-in it are worked out once, coarse cubes first: a place stays a candidate while its distance
-to the cube's centre is within one cube diagonal of the best place's. The points then meet
-a short list of candidates by an equi-join on their cube, which adaptive execution splits
-where a cube is crowded, and stay one row each.
+case. Cubes with points meet cubes with places, coarse cubes first: a pair of cubes stays
+while no other cube of places is sure to be nearer to all points of the first. Each cube keeps
+the few cubes around its nearest ones, however many places there are, and only children of
+pairs that stay are looked at. The finest cubes then get a short list of places, and the points
+meet it by an equi-join on their cube, which adaptive execution splits where a cube is crowded,
+and stay one row each.
 """
 
 from __future__ import annotations
 
 import math
-from itertools import product
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trackline.functions.geo import haversine_km, unit_vector
+from trackline.session import materialized
 
-RESOLUTIONS = (1, 8, 64, 512)  # cubes per Earth radius, coarse to fine; the finest is 12 km
+RESOLUTIONS = (2, 8, 32, 128, 512)  # cubes per Earth radius, coarse to fine; the finest is 12 km
 FINEST = RESOLUTIONS[-1]
 BITS = 11  # coordinates run from 0 to 2 * FINEST
 ROUNDING_SLACK = 1e-9
@@ -84,7 +85,7 @@ def nearest_places(
     cubes = rows.select(
         F.explode(F.array(*[_cube(*at) for at in rounded.values()])).alias("_cube")
     )
-    index = _candidates(cubes.na.drop().distinct(), spots)
+    index = _candidates(materialized(cubes.na.drop().distinct()), materialized(spots))
     for prefix, at in rounded.items():
         rows = _look_up(rows, index, prefix, *at)
     return rows
@@ -121,44 +122,65 @@ def _number(x: Column, y: Column, z: Column) -> Column:
     return F.shiftleft(x, 2 * BITS) + F.shiftleft(y, BITS) + z
 
 
-def _candidates(cubes: DataFrame, spots: DataFrame) -> DataFrame:
-    """For each finest cube the array of places that may be nearest to a point in it."""
-    mask = F.lit((1 << BITS) - 1)
-    axes = {
-        "x": F.shiftright("_cube", 2 * BITS),
-        "y": F.shiftright("_cube", BITS).bitwiseAND(mask),
-        "z": F.col("_cube").bitwiseAND(mask),
-    }
+AXES = ("x", "y", "z")
 
-    def at(resolution: int) -> list[Column]:
-        return [F.floor(axis / (FINEST // resolution)) for axis in axes.values()]
 
-    top = [_number(F.lit(x), F.lit(y), F.lit(z)) for x, y, z in product(range(3), repeat=3)]
-    vectors = unit_vector(F.col("lat"), F.col("lon"))
-    near = spots.withColumns({f"_{k}": v for k, v in vectors.items()}).withColumn(
-        "_parent", F.explode(F.array(*[t.cast("bigint") for t in top]))
+def _at(cube: Column, resolution: int) -> list[Column]:
+    """Coordinates of the cube of a resolution that holds a finest cube."""
+    mask = F.lit((1 << BITS) - 1)
+    finest = (
+        F.shiftright(cube, 2 * BITS),
+        F.shiftright(cube, BITS).bitwiseAND(mask),
+        cube.bitwiseAND(mask),
     )
-    parent = RESOLUTIONS[0]
+    return [F.floor(axis / (FINEST // resolution)) for axis in finest]
+
+
+def _level(cubes: DataFrame, parent: int | None, resolution: int, side: str) -> DataFrame:
+    """The occupied cubes of a resolution with their parents and centres."""
+    here = _at(F.col("_cube"), resolution)
+    above = F.lit(0).cast("bigint") if parent is None else _number(*_at(F.col("_cube"), parent))
+    return cubes.select(
+        above.alias(f"_{side}_parent"),
+        _number(*here).alias(f"_{side}"),
+        *[((c + 0.5) / resolution - 1).alias(f"_{side}_{a}") for a, c in zip(AXES, here)],
+    ).distinct()
+
+
+def _gap(one: str, other: str) -> Column:
+    return F.sqrt(sum((F.col(f"{one}_{a}") - F.col(f"{other}_{a}")) ** 2 for a in AXES))
+
+
+def _nearest_only(pairs: DataFrame, gap: Column, slack: float) -> DataFrame:
+    """Pairs of a cube of points that are at most ``slack`` farther apart than its nearest one."""
+    best = F.min("_gap").over(Window.partitionBy("_here"))  # few rows: the cubes around the nearest
+    measured = pairs.withColumn("_gap", gap).withColumn("_best", best)
+    return measured.filter(F.col("_gap") <= F.col("_best") + slack + ROUNDING_SLACK)
+
+
+def _candidates(cubes: DataFrame, spots: DataFrame) -> DataFrame:
+    """For each finest cube the array of places that may be nearest to a point in it."""
+    spots = spots.withColumns(
+        {f"_spot_{k}": v for k, v in unit_vector(F.col("lat"), F.col("lon")).items()}
+    ).withColumn("_cube", _cube(F.col("lat"), F.col("lon")))
+    parent, near = None, None
     for resolution in RESOLUTIONS:
-        level = cubes.select(
-            _number(*at(parent)).alias("_parent"),
-            _number(*at(resolution)).alias("_here"),
-            *[
-                ((cell + 0.5) / resolution - 1).alias(f"_c{axis}")
-                for axis, cell in zip(axes, at(resolution))
-            ],
-        ).distinct()
-        gap = F.sqrt(sum((F.col(f"_{a}") - F.col(f"_c{a}")) ** 2 for a in axes))
-        diagonal = math.sqrt(3) / resolution
-        best = F.min("_gap").over(Window.partitionBy("_here"))
-        near = (
-            near.join(level, "_parent")
-            .withColumn("_gap", gap)
-            .withColumn("_best", best)
-            .filter(F.col("_gap") <= F.col("_best") + diagonal + ROUNDING_SLACK)
-            .select("name", "lat", "lon", "_x", "_y", "_z", F.col("_here").alias("_parent"))
+        here = _level(cubes, parent, resolution, "here")
+        there = _level(spots, parent, resolution, "there")
+        if near is None:  # at most (2 * RESOLUTIONS[0] + 1) ** 3 cubes on either side
+            pairs = here.join(there, F.col("_here_parent") == F.col("_there_parent"))
+        else:
+            pairs = near.join(here, "_here_parent").join(there, "_there_parent")
+        # both ends lie anywhere in their cubes
+        near = _nearest_only(pairs, _gap("_here", "_there"), 2 * math.sqrt(3) / resolution)
+        near = near.select(
+            F.col("_here").alias("_here_parent"), F.col("_there").alias("_there_parent")
         )
         parent = resolution
-    return near.groupBy(F.col("_parent").alias("_cube")).agg(
+    finest = _level(cubes, FINEST, FINEST, "here").drop("_here_parent")
+    pairs = near.select(F.col("_here_parent").alias("_here"), F.col("_there_parent").alias("_cube"))
+    pairs = pairs.join(finest, "_here").join(spots, "_cube")
+    kept = _nearest_only(pairs, _gap("_here", "_spot"), math.sqrt(3) / FINEST)
+    return kept.groupBy(F.col("_here").alias("_cube")).agg(
         F.collect_list(F.struct("name", "lat", "lon")).alias("_candidates")
     )
