@@ -192,6 +192,52 @@ def _confusion(i: Inputs) -> DataFrame:
     return ml.confusion(guessed, truth="truth", predicted="predicted")
 
 
+@query(
+    "metrics",
+    """SELECT (tp + tn) / (tp + fp + fn + tn) AS accuracy, 2 * tp / (2 * tp + fp + fn) AS f1
+       FROM (SELECT count(*) FILTER (truth = 1 AND p) AS tp, count(*) FILTER (truth = 0 AND p) AS fp,
+                    count(*) FILTER (truth = 1 AND NOT p) AS fn,
+                    count(*) FILTER (truth = 0 AND NOT p) AS tn
+             FROM (SELECT truth, score >= 0.5 AS p FROM scores))""",
+    "scores",
+)
+def _metrics(i: Inputs) -> DataFrame:
+    guessed = i.scores().withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    return ml.metrics(guessed, truth="truth", predicted="predicted")
+
+
+SQL["sides"] = (
+    "flights",
+    f"""SELECT *, substr(md5(CAST(entity AS VARCHAR) || ':0'), 1, 8)
+                  < '{round(0.2 * 16**8):08x}' AS test FROM flights""",
+)
+
+
+@query("train_test_split", "SELECT flight, entity, test FROM sides", "sides")
+def _train_test_split(i: Inputs) -> DataFrame:
+    """Four fifths of the entities for training, the others for tests."""
+    train, test = ml.split(i.flights().select("flight", "entity"))
+    return train.withColumn("test", F.lit(False)).unionByName(test.withColumn("test", F.lit(True)))
+
+
+@query(
+    "scaled_features",
+    """SELECT flight, round((max_alt - lo_alt) / (hi_alt - lo_alt), 9) AS max_alt,
+              round((t0 - lo_t) / (hi_t - lo_t), 9) AS t0
+       FROM sides, (SELECT min(max_alt) AS lo_alt, max(max_alt) AS hi_alt, min(t0) AS lo_t,
+                           max(t0) AS hi_t FROM sides WHERE NOT test)
+       WHERE max_alt IS NOT NULL AND t0 IS NOT NULL""",
+    "sides",
+)
+def _scaled_features(i: Inputs) -> DataFrame:
+    """Features of all flights on the scale of the training rows."""
+    flights = i.flights().select("flight", "entity", F.col("max_alt").cast("double").alias("max_alt"), "t0")
+    flights = flights.na.drop(subset=["max_alt", "t0"])
+    train, _ = ml.split(flights)
+    found = ml.scaled(train, flights, ["max_alt", "t0"])
+    return rounded(found.select("flight", "max_alt", "t0"), "max_alt", "t0", decimals=9)
+
+
 SQL["roc"] = (
     "scores",
     """SELECT threshold, fp / sum(neg) OVER () AS fpr, tp / sum(pos) OVER () AS tpr
@@ -228,7 +274,7 @@ def _roc_threshold(i: Inputs) -> DataFrame:
 
 @query("rf_metrics")
 def _rf_metrics(i: Inputs) -> DataFrame:
-    train, test = ml.split(ml.training_set(materialized(learnable(i)), RATIO))
+    train, test = ml.training_set(materialized(learnable(i)), RATIO)
     return ml.compare(train, test, ["random_forest"], trees=TREES)
 
 
@@ -236,7 +282,7 @@ def _rf_metrics(i: Inputs) -> DataFrame:
 def _rf_label_fill(i: Inputs) -> DataFrame:
     """Labels of all flights, the unknown ones as a forest trained on the known ones says."""
     every = materialized(learnable(i))
-    train, _ = ml.split(ml.training_set(every, RATIO))
+    train, _ = ml.training_set(every, RATIO)
     forest = ml.classifier("random_forest", trees=TREES).fit(train)
     unknown = every.filter("type IS NULL").na.drop(subset=list(ml.FEATURES))
     guessed = ml.predict(forest, unknown).select("flight", F.col("predicted").alias("type"))
@@ -245,7 +291,7 @@ def _rf_label_fill(i: Inputs) -> DataFrame:
 
 @query("model_compare")
 def _model_compare(i: Inputs) -> DataFrame:
-    train, test = ml.split(ml.training_set(materialized(learnable(i)), RATIO))
+    train, test = ml.training_set(materialized(learnable(i)), RATIO)
     return ml.compare(train, test, trees=TREES)
 
 
