@@ -172,3 +172,14 @@ def test_shifted_labels_of_a_short_track(spark):
     )
     got = rows(tracks.segment_tracks(df, align="shifted").select("id", "seg"))
     assert sorted(got) == [(0, 0)] + [(k, None) for k in range(1, 6)]
+
+
+def test_altitudes_in_the_older_code(spark):
+    """Steps of 100 feet, each one bit away from the next, from -1200 feet up."""
+    from trackline.functions.messages import coded_altitude
+
+    codes = spark.range(4096).filter("id & 16 = 0").select("id", coded_altitude(F.col("id")).alias("feet"))
+    by_feet = {int(r.feet): r.id for r in codes.filter("feet IS NOT NULL").collect()}
+    feet = sorted(by_feet)
+    assert feet == list(range(-1200, 126_800, 100))
+    assert all((by_feet[a] ^ by_feet[b]).bit_count() == 1 for a, b in zip(feet, feet[1:]))

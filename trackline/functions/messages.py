@@ -129,3 +129,28 @@ def identity(raw: Column, characters: int = 8) -> Column:
         for k in range(characters)
     ]
     return F.when(type_code(raw).between(1, 4), F.concat(*letters))
+
+
+# Where the bits of the older altitude code lie in the 12-bit field, the lowest bit is 0.
+FIVE_HUNDREDS = (2, 0, 10, 8, 6, 5, 3, 1)  # D2 D4 A1 A2 A4 B1 B2 B4
+HUNDREDS = (11, 9, 7)  # C1 C2 C4
+
+
+def _from_gray(field: Column, places: tuple[int, ...]) -> Column:
+    """The number whose reflected binary code has the bits at ``places``, the highest first."""
+    top = len(places) - 1
+    code = sum(
+        F.shiftleft(F.shiftright(field, place).bitwiseAND(F.lit(1)), top - n)
+        for n, place in enumerate(places)
+    )
+    for step in (1, 2, 4):
+        code = code.bitwiseXOR(F.shiftright(code, step))
+    return code
+
+
+def coded_altitude(field: Column) -> Column:
+    """Feet of a 12-bit altitude field in the older code, in steps of 100; null for codes without meaning."""
+    five, one = _from_gray(field, FIVE_HUNDREDS), _from_gray(field, HUNDREDS)
+    one = F.when(one == 7, 5).when(one.isin(0, 5, 6), None).otherwise(one)
+    one = F.when(five % 2 == 1, 6 - one).otherwise(one)
+    return (five * 500 + one * 100 - 1300).cast("double")

@@ -103,7 +103,9 @@ def positions(messages: DataFrame, raw: str = "raw", t: str = "t") -> DataFrame:
             msg.bits(text, 53, 1).alias("odd"),
             (msg.bits(text, 54, 17) / cpr.SCALE).alias("y"),
             (msg.bits(text, 71, 17) / cpr.SCALE).alias("x"),
-            F.when(altitude.bitwiseAND(F.lit(16)) != 0, step * 25.0 - 1000).alias("alt"),
+            F.when(altitude.bitwiseAND(F.lit(16)) != 0, step * 25.0 - 1000)
+            .otherwise(msg.coded_altitude(altitude))
+            .alias("alt"),
         )
     )
 
