@@ -80,6 +80,7 @@ def near_duplicates(
     component = distinct.join(renamed, "print", "left").select(
         "print", F.coalesce("component", "least").alias("component_id")
     )
+    component = materialized(component)  # so that the join below can be split where many share a print
     hexed = F.lower(F.lpad(F.hex("print"), BITS // 4, "0")).alias("fingerprint")
     return printed.join(component, "print").select(key, hexed, "component_id")
 
