@@ -119,9 +119,9 @@ class PairIndex:
         self.starts = ends - lengths
         self.symbols = vocabulary.inner[raw]
         self.symbols[ends - 1] = vocabulary.last[raw[ends - 1]]
-        self.following = np.arange(1, len(raw) + 1)
+        self.following = np.arange(1, len(raw) + 1, dtype=np.int32)
         self.following[ends - 1] = -1
-        self.preceding = np.arange(-1, len(raw) - 1)
+        self.preceding = np.arange(-1, len(raw) - 1, dtype=np.int32)
         self.preceding[self.starts] = -1
         self.positions: dict[int, list[np.ndarray]] = {}
         self.active: list[int] = []
@@ -191,7 +191,7 @@ class Encoder:
     ``most`` bounds memory and changes no result.
     """
 
-    def __init__(self, path: str, most: int = 500_000):
+    def __init__(self, path: str, most: int = 250_000):
         self.vocabulary = Vocabulary(path)
         self.most = most
         self.forget()
@@ -254,7 +254,7 @@ class Encoder:
         self.ids = np.concatenate([self.ids, ids])
         self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(lengths)])
 
-    def encode(self, texts: list[str], portion: int = 1 << 22) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def encode(self, texts: list[str], portion: int = 1 << 21) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Ids of all texts of a portion, one after the other, and the number of ids of each text.
 
         A portion holds about ``portion`` characters (always whole texts).
@@ -357,7 +357,7 @@ def decode(vocabulary: Vocabulary, ids: list[int]) -> str:
     return " ".join([tokens[i] for i in ids])
 
 
-def portions(batches: Iterable[pa.RecordBatch], column: str, most: int = 1 << 25) -> Iterator[pa.RecordBatch]:
+def portions(batches: Iterable[pa.RecordBatch], column: str, most: int = 1 << 24) -> Iterator[pa.RecordBatch]:
     """Parts of Arrow batches with about ``most`` bytes of text each, so that memory stays bounded."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)

@@ -176,7 +176,7 @@ def pack(
         if level == 0:
             groups = (left.agg(F.max("group")).first()[0] or 0) + 1
         level, groups = level + 1, -(-groups // fan_in)
-        grouped = left.withColumn("group", F.floor(F.col("group") / fan_in)).groupBy("group")
+        grouped = left.withColumn("group", F.pmod("group", F.lit(groups).cast("long"))).groupBy("group")
         packed = materialized(grouped.applyInArrow(again(level, groups == 1), schema))
     emitted.append(packed)
     out = emitted[0]
