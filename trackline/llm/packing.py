@@ -151,6 +151,7 @@ def pack(
                     packer.add(next(keys), count + 1, 0, own)
                     end += count
                 yield packer.taken(key_type, with_ids)
+        known.forget()  # the worker process goes on to other tasks
         if key_type is not None:
             packer.finish(last=False)
             yield packer.taken(key_type, with_ids)
