@@ -75,3 +75,18 @@ def test_given_pages(spark, sf_dir):
         inside = re.sub(r"</?b>", "", re.search(r"<article>(.*)</article>", row.html, re.DOTALL)[1])
         blocks = [" ".join(html.unescape(x).split()) for x in re.split(r"</?(?:p|h1|br)>", inside)]
         assert got[row.page_id] == " ".join(x for x in blocks if x)
+
+
+LINK = "<a href=/x>%s</a>"
+
+
+@pytest.mark.parametrize("tag", ["article", "div"])
+def test_linked_title_and_list(tag):
+    items = "".join(f"<li>{LINK % f'Source {n}'}</li>" for n in range(6))
+    page = f"<nav>{LINK % 'Home'}</nav><{tag}><h1>{LINK % 'Title'}</h1><p>Body of it</p><ul>{items}</ul></{tag}><footer>Foot</footer>"
+    assert main_text(page) == " ".join(["Title Body of it", *[f"Source {n}" for n in range(6)]])
+
+
+def test_article_of_links():
+    page = f"<nav>{LINK % 'Home'}</nav><article><h2>{LINK % 'One'}</h2><p>{LINK % 'Two'}</p><aside>{LINK % 'x'}</aside></article>"
+    assert main_text(page) == "One Two"

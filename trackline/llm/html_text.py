@@ -2,10 +2,11 @@
 
 Markup is stripped into lines, one per block element in page order. A line counts with the length
 of its text outside links; lines of menus, headers, footers, sidebars, notices, adverts, forms and
-reader comments count zero, and where a page marks its article, so do all lines outside of it. The lengths
+reader comments count zero. Where a page marks its article, all lines in it but those of these kinds are the text, linked or
+not. Elsewhere the lengths
 are summed over sliding windows of lines. A surge is where the sums rise from zero, the dive where they
-fall back to it; stretches between that reach a threshold relative to the highest sum are kept, and from them
-all lines that are not of those kinds.
+fall back to it; stretches between that reach a threshold relative to the highest sum are kept with the
+linked lines that adjoin them, and from them all lines that are not of those kinds.
 
 Null or empty pages, and pages without text, give an empty text. Pages may be cut off or badly nested: a
 closing tag ends what is open inside it. Repeated rows are extracted one by one. Columns other than
@@ -160,17 +161,23 @@ def main_text(page: str | None, window: int = 3, rise: float = 0.2) -> str:
     found = lines(page or "")
     marked = any(x.main and not x.apart for x in found)
     wanted = [not x.apart and (x.main or not marked) for x in found]
+    if marked:
+        return " ".join(x.text for x, ok in zip(found, wanted) if ok)
     lengths = np.array([len(x.text) - min(x.linked, len(x.text)) if ok else 0 for x, ok in zip(found, wanted)], np.int64)
     if not lengths.sum():
         return ""
     sums = np.convolve(lengths, np.ones(window, np.int64))  # sums[i]: lines i - window + 1 to i
     filled = np.r_[0, (sums > 0).astype(np.int8), 0]
     surges, dives = np.flatnonzero(np.diff(filled) == 1), np.flatnonzero(np.diff(filled) == -1)
-    kept = []
+    kept = [False] * len(found)
     for surge, dive in zip(surges, dives):  # the first line of the window after a surge is the surge itself
-        if marked or sums[surge:dive].max() >= rise * sums.max():
-            kept += [x.text for x, ok in zip(found[surge:dive], wanted[surge:dive]) if ok]
-    return " ".join(kept)
+        if sums[surge:dive].max() >= rise * sums.max():
+            while surge and wanted[surge - 1] and not lengths[surge - 1]:  # linked lines that adjoin
+                surge -= 1
+            while dive < len(found) and wanted[dive] and not lengths[dive]:
+                dive += 1
+            kept[surge:dive] = wanted[surge:dive]
+    return " ".join(x.text for x, ok in zip(found, kept) if ok)
 
 
 def extract(pages: DataFrame, keep: tuple[str, ...] = ("page_id", "url"), page: str = "html") -> DataFrame:
