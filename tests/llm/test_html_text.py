@@ -90,3 +90,19 @@ def test_linked_title_and_list(tag):
 def test_article_of_links():
     page = f"<nav>{LINK % 'Home'}</nav><article><h2>{LINK % 'One'}</h2><p>{LINK % 'Two'}</p><aside>{LINK % 'x'}</aside></article>"
     assert main_text(page) == "One Two"
+
+
+def test_short_paragraphs_beyond_apart_lines():
+    adverts = "".join(f'<div class="advert"><p>Buy {n}</p></div>' for n in range(4))
+    first, long, last = "A short introduction.", "many words " * 200, "The closing paragraph."
+    page = f"<body><p>{first}</p>{adverts}<p>{long}</p>{adverts}<p>{last}</p></body>"
+    assert main_text(page) == f"{first} {long.strip()} {last}"
+
+
+def test_given_pages_without_mark(spark, sf_dir):
+    """With div instead of article, every line of the marked text is still there."""
+    for row in spark.read.parquet(f"{sf_dir}/pages.parquet").collect():
+        bare = row.html.replace("<article>", "<div>").replace("</article>", "</div>")
+        inside = [x.text for x in lines(row.html) if x.main and not x.apart]
+        got = main_text(bare)
+        assert all(x in got for x in inside)

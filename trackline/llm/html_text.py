@@ -5,7 +5,7 @@ of its text outside links; lines of menus, headers, footers, sidebars, notices,
 reader comments count zero. Where a page marks its article, all lines in it but those of these kinds are the text, linked or
 not. Elsewhere the lengths
 are summed over sliding windows of lines. A surge is where the sums rise from zero, the dive where they
-fall back to it; stretches between that reach a threshold relative to the highest sum are kept with the
+fall back to it; stretches between that reach ``enough`` characters, or a share of the highest sum, are kept with the
 linked lines that adjoin them, and from them all lines that are not of those kinds.
 
 Null or empty pages, and pages without text, give an empty text. Pages may be cut off or badly nested: a
@@ -156,7 +156,7 @@ def lines(page: str) -> list[Line]:
     return out
 
 
-def main_text(page: str | None, window: int = 3, rise: float = 0.2) -> str:
+def main_text(page: str | None, window: int = 3, rise: float = 0.2, enough: int = 10) -> str:
     """The lines between the surges and dives of a page, joined by a space."""
     found = lines(page or "")
     marked = any(x.main and not x.apart for x in found)
@@ -171,7 +171,7 @@ def main_text(page: str | None, window: int = 3, rise: float = 0.2) -> str:
     surges, dives = np.flatnonzero(np.diff(filled) == 1), np.flatnonzero(np.diff(filled) == -1)
     kept = [False] * len(found)
     for surge, dive in zip(surges, dives):  # the first line of the window after a surge is the surge itself
-        if sums[surge:dive].max() >= rise * sums.max():
+        if sums[surge:dive].max() >= min(rise * sums.max(), enough):
             while surge and wanted[surge - 1] and not lengths[surge - 1]:  # linked lines that adjoin
                 surge -= 1
             while dive < len(found) and wanted[dive] and not lengths[dive]:
