@@ -10,7 +10,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from trackline.llm import language, line_dedup, near_copies, packing, secrets
+from trackline.llm import language, line_dedup, packing, secrets, simhash
 from trackline.session import materialized
 
 
@@ -33,11 +33,17 @@ def own_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of near copies (0.8 of the five-word shingles) exactly one row: least doc_id, then least text.
+    """Of every group of near duplicates (fingerprints that 2 bits link) one row: least doc_id (null last), then least text.
 
-    Rows, not ids, are chosen: rows without an id and rows that share one are kept where their texts differ.
+    Rows, not ids, are chosen: rows without an id and rows that share one are kept where their groups differ. Texts
+    without words are one group.
     """
-    return near_copies.one_of_each(docs, words=5, similarity=0.8)
+    found = simhash.near_duplicates(docs, words=3, distance=2, carry=docs.columns)
+    row = F.col("carried")
+    rest = F.to_json(F.struct(*[row[c].alias(c) for c in docs.columns if c not in ("doc_id", "text")]))
+    # the digest of the other columns makes the choice among rows with equal doc_id and text determinate
+    order = F.struct(row["doc_id"].isNull(), row["doc_id"], row["text"], F.sha2(rest, 256))
+    return found.groupBy("component").agg(F.min_by(row, order).alias("carried")).select("carried.*")
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,6 +12,7 @@ from trackline.llm import (
     collision_search,
     exact_search,
     html_text,
+    hyper_minhash,
     language,
     line_dedup,
     packing,
@@ -108,3 +109,9 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op10_top_k"] = exact_search.sql()
+
+
+@query
+def op13_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size of the shingle set, component and whether kept, of every document."""
+    return hyper_minhash.near_duplicates(table(spark, sf_dir, "documents"), words=4, similarity=0.8)

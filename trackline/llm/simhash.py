@@ -10,7 +10,7 @@ that are not fixed in it, as often as needed, so that all links are found withou
 groups. Components of links are joined by ``components.stars``.
 
 A text without words (null, empty or blank) has fingerprint zero and links like any other. Repeated
-keys are rows of their own with one component. Other columns of the input are not carried. An
+keys are rows of their own with one component. Other columns of the input come along if named. An
 empty table gives an empty result.
 """
 
@@ -46,18 +46,22 @@ def fingerprint(text: str | None, words: int = 3, block: int = 1 << 16) -> int:
     return int.from_bytes(np.packbits(2 * counts > len(hashes)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3) -> DataFrame:
-    """``key`` and print: the 64-bit fingerprint as a (signed) long."""
+def fingerprints(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 3, carry: list[str] | None = None
+) -> DataFrame:
+    """``key`` and print: the 64-bit fingerprint as a (signed) long; with ``carry`` a struct of these columns too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints = [fingerprint(x.as_py(), words) for x in batch.column("text")]
             signed = np.array(prints, np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(signed)], ["key", "print"])
+            kept = [c for c in batch.schema.names if c != "text"]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(signed)], [*kept, "print"])
 
-    kind = docs.schema[key].dataType.simpleString()
-    named = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    return named.mapInArrow(run, f"key {kind}, print long").withColumnRenamed("key", key)
+    more = [F.struct(*carry).alias("carried")] if carry else []
+    named = docs.select(F.col(key).alias("key"), *more, F.col(text).alias("text"))
+    kinds = [f"{c} {named.schema[c].dataType.simpleString()}" for c in named.columns if c != "text"]
+    return named.mapInArrow(run, ", ".join([*kinds, "print long"])).withColumnRenamed("key", key)
 
 
 def near_duplicates(
@@ -67,22 +71,28 @@ def near_duplicates(
     words: int = 3,
     distance: int = 2,
     bucket: int = 512,
+    carry: list[str] | None = None,
 ) -> DataFrame:
-    """One row per document: ``key``, fingerprint (16 hex digits), component_id (least key reachable)."""
-    printed = materialized(fingerprints(docs, key, text, words))
+    """One row per document: ``key``, fingerprint (16 hex digits), component_id (least key reachable).
+
+    ``carry`` names columns to bring along in a struct column "carried"; then "component" (a fingerprint) tells
+    components apart, also those whose documents share a key or have none.
+    """
+    printed = materialized(fingerprints(docs, key, text, words, carry))
     distinct = materialized(printed.groupBy("print").agg(F.min(key).alias("least")))
     near = stars(links(distinct.select("print"), distance, bucket))
     member = near.select(F.col("node").alias("print"), "root")
     member = member.unionByName(near.select(F.col("root").alias("print"), "root").distinct())
     # per component the least key of its fingerprints
-    named = member.join(distinct, "print").groupBy("root").agg(F.min("least").alias("component"))
-    renamed = member.join(named, "root").select("print", "component")
+    named = member.join(distinct, "print").groupBy("root").agg(F.min("least").alias("of_all"))
+    renamed = member.join(named, "root").select("print", "root", "of_all")
     component = distinct.join(renamed, "print", "left").select(
-        "print", F.coalesce("component", "least").alias("component_id")
+        "print", F.coalesce("root", "print").alias("component"), F.coalesce("of_all", "least").alias("component_id")
     )
     component = materialized(component)  # so that the join below can be split where many share a print
     hexed = F.lower(F.lpad(F.hex("print"), BITS // 4, "0")).alias("fingerprint")
-    return printed.join(component, "print").select(key, hexed, "component_id")
+    more = ["component", "carried"] if carry else []
+    return printed.join(component, "print").select(key, hexed, "component_id", *more)
 
 
 def links(prints: DataFrame, distance: int, bucket: int) -> DataFrame:
