@@ -16,8 +16,10 @@ from trackline.llm import (
     language,
     line_dedup,
     packing,
+    phrases,
     secrets,
     simhash,
+    spelling,
     toxicity,
 )
 
@@ -111,6 +113,21 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE["op10_top_k"] = exact_search.sql()
 
 
+@query
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 phrases of every language."""
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op11_phrases"] = phrases.sql()
+
+
+@query
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words with the more frequent spelling they are close to; one in 97 runs loses a code point, as agreed."""
+    return spelling.variants(spelling.words(table(spark, sf_dir, "documents"), one_in=97))
+
+
 @query
 def op13_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Size of the shingle set, component and whether kept, of every document."""
