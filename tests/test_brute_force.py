@@ -199,3 +199,91 @@ def test_nearest_place_does_not_pair_places_with_points(spark, monkeypatch):
     )
     assert nearest.nearest_place(points, places).where("place_name IS NULL").count() == 0
     assert max(counts) < 400 * 8000 / 10
+
+
+def test_fuzzy_rows_grow_with_the_length(spark):
+    rng = random.Random(6)
+    words = [("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=n)),) for n in (20, 80, 320) for _ in range(5)]
+    texts = spark.createDataFrame(words, "text string")
+    rarity = spark.createDataFrame([], "_width int, _gram string, _texts bigint")
+    rows = fuzzy.prefixes(texts, rarity, 70).groupBy("_length").count().collect()
+    assert {r["_length"]: r["count"] / 5 / r["_length"] < 0.75 for r in rows} == dict.fromkeys((20, 80, 320), True)
+
+
+def test_long_names_find_their_entries(spark):
+    rng = random.Random(7)
+    words = sorted({"".join(rng.choices("abcdefgh ", k=rng.choice((40, 90, 200)))) for _ in range(40)})
+
+    def spoil(word):
+        letters = list(word)
+        for _ in range(int(len(word) * rng.uniform(0.1, 0.8))):
+            at = rng.randrange(len(letters))
+            letters[at : at + rng.randint(0, 1)] = rng.choices("abcdefgh ", k=rng.randint(0, 1))
+        return "".join(letters)
+
+    names = sorted({spoil(w) for w in words})
+    got = fuzzy.fuzzy_match(
+        spark.createDataFrame([(n,) for n in names], "name string"),
+        spark.createDataFrame([(w,) for w in words], "word string"),
+        name="name",
+        entry="word",
+    )
+    found = {r.name: r.match for r in got.collect()}
+    for name in names:
+        reached = []
+        for word in words:
+            longer = max(len(name), len(word))
+            edits = levenshtein(name, word)
+            if 100 * (longer - edits) >= 70 * longer:
+                reached.append((edits / longer, word))
+        assert found[name] == (min(reached)[1] if reached else None)
+    assert None in found.values() and len(set(found.values())) > 10
+
+
+def test_equally_distant_trips_are_not_all_compared(spark):
+    rng = random.Random(8)
+    codes = ["".join(rng.sample("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", 16)) for _ in range(300)]
+    df = spark.createDataFrame([("r", k, c) for k, c in enumerate(codes)], "route string, id int, code string")
+    log = []
+    got = {(r.id, r.total) for r in medoid.route_medoid(df, route=["route"], log=log).collect()}
+    totals = [0] * 300
+    for a in range(300):
+        for b in range(a):
+            d = levenshtein(codes[a], codes[b])
+            totals[a] += d
+            totals[b] += d
+    assert got == {(k, t) for k, t in enumerate(totals) if t == min(totals)}
+    assert sum(log) < 0.65 * 300 * 300, log
+
+
+def test_medoid_with_more_cells_than_symbols(spark):
+    rng = random.Random(9)
+    rows, trips = [], []
+    for route, n, vocabulary in (("wide", 30, 60), ("narrow", 20, 9)):
+        for k in range(n):
+            trips.append((route, "z", f"{route}{k}", k))
+            cells = rng.sample(range(vocabulary), rng.randint(1, 9))
+            rows += [(f"{route}{k}", k, f"{c}.5,{c}", t) for t, c in enumerate(cells)]
+    cells = spark.createDataFrame(rows, "entity string, seg int, token string, at int")
+    table = spark.createDataFrame(trips, "start string, end string, entity string, seg int")
+    coded = medoid.coded_sequences(cells, table, symbols=20)
+    codes = {r.entity: r.code for r in coded.collect()}
+    assert codes["wide3"].startswith(medoid.WIDE) and not codes["narrow3"].startswith(medoid.WIDE)
+    tokens = {}
+    for entity, _, token, _ in rows:
+        tokens.setdefault(entity, []).append(token)
+    want = set()
+    for route in ("wide", "narrow"):
+        mine = [e for r, _, e, _ in trips if r == route]
+        totals = {e: sum(levenshtein(tokens[e], tokens[o]) for o in mine) for e in mine}
+        want |= {(e, t) for e, t in totals.items() if t == min(totals.values())}
+    assert {(r.entity, r.total) for r in medoid.route_medoid(coded).collect()} == want
+
+
+def test_edit_distance_of_arrays(spark):
+    rng = random.Random(10)
+    pairs = [([rng.choice("abcdé日") for _ in range(rng.randrange(7))], [rng.choice("abcdé日") for _ in range(rng.randrange(7))]) for _ in range(80)]
+    pairs += [(["x"] * 300, ["x", "y"] * 150), ([], []), (["a"], [])]
+    df = spark.createDataFrame(pairs, "a array<string>, b array<string>")
+    got = df.select("a", "b", medoid.edit_distance(F.col("a"), F.col("b")).alias("d")).collect()
+    assert [r.d for r in got] == [levenshtein(r.a, r.b) for r in got]

@@ -1,18 +1,19 @@
 """The main trip of each route: the one with the least total edit distance to the others.
 
-Comparing all pairs of trips on a busy route does not scale, so most trips are ruled out
-first. Equal sequences are counted, not compared. A lower bound of each trip's total comes
-from how many trips of the route pass each cell, and from the lengths. The few trips with
-the smallest bound become pivots; every sequence is compared to them, which gives their
-exact totals and, by the triangle inequality, tighter bounds for all others: as
-d(i, k) >= |d(p, i) - d(p, k)| for any pivot p, total(i) >= |n d(p, i) - total(p)|. Only
-trips whose bound does not exceed the best exact total are compared to the whole route, so
-the result is exact, ties included.
+Comparing all pairs of trips on a busy route does not scale, so trips are ruled out in rounds.
+Equal sequences are counted, not compared. A lower bound of each trip's total comes from how many
+trips of the route pass each cell, and from the lengths. In each round the few trips with the
+smallest bounds are measured against all that have not been measured before. That gives their exact
+totals, and it raises the bounds of all others: by what each distance exceeds its part of the bound,
+and by the triangle inequality, as d(i, k) >= |d(p, i) - d(p, k)| makes total(i) >= |n d(p, i) -
+total(p)|. A trip whose bound exceeds the best total so far is out. Rounds grow until no trip is
+left, so the result is exact, ties included. A trip once measured is not met again in later rounds, so
+that even where all are about equally far apart, hardly more than half of the ordered pairs are.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,12 +22,13 @@ from trackline.operators.routes import ROUTE
 from trackline.operators.tracks import ORDER, TRIP
 from trackline.session import materialized
 
-PIVOTS = 8
-SALTS = 32  # parts of a route at least
-SALT_ROWS = 100_000  # sequences in a part, were they all of one route
+PIVOTS = 8  # in the first round, then twice as many each time
+MOST_PIVOTS = 512
+SALTS = 32  # parts of a busy route
+WIDE = "\x01"  # stands before each cell of a route with more cells than there are characters
 FIRST_SYMBOL = 0x100
 SURROGATES, SURROGATE_COUNT = 0xD800, 0x800
-LAST_SYMBOL = 0x10FFFF
+SYMBOLS = 0x110000 - SURROGATE_COUNT - FIRST_SYMBOL
 
 
 def visited_cells(
@@ -58,29 +60,18 @@ def token_sequences(cells: DataFrame, *, keys: Sequence[str] = TRIP) -> DataFram
 
 
 def edit_distance(a: Column, b: Column) -> Column:
-    """Least number of insertions, deletions and replacements between two arrays.
+    """Least number of insertions, deletions and replacements between two arrays of any vocabulary.
 
-    For single pairs of any vocabulary; ``coded_sequences`` turns arrays into text first
-    where many pairs are compared, as the built-in function on text is much faster.
+    Elements become characters: those of ``b`` by where they stand first in it, all others the
+    same one, which ``b`` does not have. So the built-in function on text does the work.
     """
+    places = F.array_distinct(b)
 
-    def next_row(row: Column, element: Column) -> Column:
-        def extend(done: Column, j: Column) -> Column:
-            cost = F.when(F.get(b, j - 1) == element, 0).otherwise(1)
-            cell = F.least(
-                F.element_at(done, -1) + 1, F.get(row, j) + 1, F.get(row, j - 1) + cost
-            )
-            return F.concat(done, F.array(cell))
+    def coded(elements: Column) -> Column:
+        number = F.transform(elements, lambda x: F.array_position(places, x).cast("int") + 1)
+        return F.array_join(F.transform(number, _character), "")
 
-        first = F.array(F.get(row, F.lit(0)) + 1)
-        return F.aggregate(_count_to(F.size(b)), first, extend)
-
-    start = F.concat(F.array(F.lit(0)), _count_to(F.size(b)))
-    return F.element_at(F.aggregate(a, start, next_row), -1)
-
-
-def _count_to(n: Column) -> Column:
-    return F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
+    return F.levenshtein(coded(a), coded(b))
 
 
 def coded_sequences(
@@ -89,13 +80,28 @@ def coded_sequences(
     *,
     keys: Sequence[str] = TRIP,
     route: Sequence[str] = ROUTE,
+    symbols: int = SYMBOLS,
 ) -> DataFrame:
-    """``trips`` with ``code``: its cells as text, one character per cell of the route."""
+    """``trips`` with ``code``: its cells as text, one character per cell of the route.
+
+    Where a route has more than ``symbols`` cells, their own names stand in the text, each after a mark.
+    """
     placed = cells.join(trips.select(*keys, *route), list(keys))
-    rank = F.row_number().over(Window.partitionBy(*route).orderBy("token"))
-    vocabulary = (
-        placed.select(*route, "token").distinct().withColumn("symbol", _character(rank))
+    known = placed.select(*route, "token").distinct()
+    # numbered within hashed parts, after the parts before: no window holds a whole route
+    inside = F.row_number().over(Window.partitionBy(*route, "_part").orderBy("token"))
+    known = materialized(known.withColumn("_part", _salt("token")).withColumn("_inside", inside))
+    sizes = known.groupBy(*route, "_part").agg(F.count(F.lit(1)).alias("_n"))
+    upto = Window.partitionBy(*route).orderBy("_part")
+    starts = sizes.select(
+        *route,
+        "_part",
+        (F.sum("_n").over(upto) - F.col("_n")).alias("_start"),
+        F.sum("_n").over(Window.partitionBy(*route)).alias("_cells"),
     )
+    narrow = _character((F.col("_start") + F.col("_inside")).cast("int"))
+    symbol = F.when(F.col("_cells") <= symbols, narrow).otherwise(F.concat(F.lit(WIDE), "token"))
+    vocabulary = known.join(starts, [*route, "_part"]).select(*route, "token", symbol.alias("symbol"))
     code = F.array_sort(F.collect_list(F.struct("at", "symbol")))["symbol"]
     codes = (
         placed.join(vocabulary, [*route, "token"])
@@ -105,81 +111,172 @@ def coded_sequences(
     return trips.join(codes, list(keys))
 
 
-def _character(rank: Column) -> Column:
-    point = rank + (FIRST_SYMBOL - 1)
+def _character(number: Column) -> Column:
+    """The character for a number from 1 to SYMBOLS."""
+    point = number + (FIRST_SYMBOL - 1)
     point = F.when(point >= SURROGATES, point + SURROGATE_COUNT).otherwise(point)
-    text = F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")
-    too_many = F.raise_error(F.lit("more cells on one route than characters to name them"))
-    return F.when(point <= LAST_SYMBOL, text).otherwise(too_many)
+    return F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")
+
+
+def code_cells(code: Column) -> Column:
+    """The cells of a code, as an array."""
+    letters = F.transform(
+        F.sequence(F.lit(1), F.length(code)), lambda k: F.substr(code, k, F.lit(1))
+    )
+    named = F.split(F.substr(code, F.lit(2)), WIDE)
+    none = F.array().cast("array<string>")
+    return F.when(_is_wide(code), named).when(F.length(code) > 0, letters).otherwise(none)
+
+
+def code_distance(a: Column, b: Column) -> Column:
+    """Edit distance of two codes of one route."""
+    apart = edit_distance(code_cells(a), code_cells(b))
+    return F.when(_is_wide(a) | _is_wide(b), apart).otherwise(F.levenshtein(a, b))
+
+
+def _is_wide(code: Column) -> Column:
+    return F.startswith(code, F.lit(WIDE))
 
 
 def route_medoid(
-    coded: DataFrame, *, route: Sequence[str] = ROUTE, pivots: int = PIVOTS
+    coded: DataFrame,
+    *,
+    route: Sequence[str] = ROUTE,
+    pivots: int = PIVOTS,
+    log: list[int] | None = None,
 ) -> DataFrame:
     """The trips with the least total edit distance on their route, ties kept.
 
-    Adds ``total``, the sum of distances to all trips of the route.
+    Adds ``total``, the sum of distances to all trips of the route. ``log`` receives how many
+    distances each round has measured.
     """
     route = list(route)
     sequences = materialized(coded.groupBy(*route, "code").agg(F.count(F.lit(1)).alias("w")))
-    parts = max(SALTS, -(-sequences.count() // SALT_ROWS))
-    measured = materialized(_measured(sequences, route, pivots, parts))
-    totals = measured.groupBy(*route).agg(
-        F.sum("w").alias("_n"),
-        F.array(
-            *[F.sum(F.col("w") * F.get("_d", F.lit(k))) for k in range(pivots)]
-        ).alias("_totals"),
+    whole = sequences.groupBy(*route).agg(F.sum("w").alias("_n"))
+    bounds = _bounded(sequences, route).select(*route, "code", "_bound")
+    # _known: distances to the trips measured so far, added up; _least: by triangles
+    left = materialized(
+        sequences.join(bounds, [*route, "code"], "left")
+        .join(whole, route)
+        .select(
+            *route,
+            *("code", "w", "_n"),
+            F.coalesce("_bound", F.lit(0)).cast("double").alias("_bound"),
+            _long(0).alias("_known"),
+            _long(0).alias("_least"),
+        )
     )
-    gaps = F.transform(
-        F.arrays_zip(F.col("_d").alias("d"), F.col("_totals").alias("s")),
-        lambda pivot: F.abs(F.col("_n") * pivot["d"] - pivot["s"]),
+    totals = None
+    while True:
+        chosen = materialized(_chosen(left, totals, route, pivots))
+        if chosen.isEmpty():
+            break
+        measured = materialized(_measured(left, chosen, route))
+        if log is not None:
+            log.append(measured.agg(F.sum(F.size("_d"))).first()[0])
+        found = materialized(_totals(measured, chosen, route, pivots))
+        totals = found if totals is None else totals.unionByName(found)
+        left = materialized(_raised(measured, found, route))
+        pivots = min(2 * pivots, MOST_PIVOTS)
+    if totals is None:
+        return coded.withColumn("total", _long(0)).limit(0)
+    best = totals.groupBy(*route).agg(F.min("total").alias("total"))
+    return coded.join(totals.join(best, [*route, "total"]), [*route, "code"])
+
+
+def _long(value: int) -> Column:
+    return F.lit(value).cast("bigint")
+
+
+def _salt(column: str) -> Column:
+    return F.pmod(F.xxhash64(column), _long(SALTS))
+
+
+def _lower() -> Column:
+    return F.greatest("_bound", "_least")
+
+
+def _chosen(left: DataFrame, totals: DataFrame | None, route: list[str], pivots: int) -> DataFrame:
+    """Per route the trips to measure next: the smallest bounds that do not exceed the best total."""
+    if totals is not None:
+        best = totals.groupBy(*route).agg(F.min("total").alias("_best"))
+        left = left.join(best, route).filter(_lower() <= F.col("_best"))
+    # the smallest of a route are found within hashed parts of it first
+    order = [_lower(), F.col("code")]
+    part = Window.partitionBy(*route, "_salt").orderBy(*order)
+    every = Window.partitionBy(*route).orderBy(*order)
+    return (
+        left.withColumn("_salt", _salt("code"))
+        .withColumn("_rank", F.row_number().over(part))
+        .filter(F.col("_rank") <= pivots)
+        .withColumn("_rank", F.row_number().over(every))
+        .filter(F.col("_rank") <= pivots)
+        .groupBy(*route)
+        .agg(F.sort_array(F.collect_list(F.struct("code", "w", "_known"))).alias("_pivots"))
     )
-    left = (
-        measured.join(totals, route)
-        .filter(F.greatest(F.col("_bound"), F.array_max(gaps)) <= F.array_min("_totals"))
-        .select(*route, F.col("code").alias("_candidate"))
+
+
+def _measured(left: DataFrame, chosen: DataFrame, route: list[str]) -> DataFrame:
+    """All trips not measured so far, of routes that have pivots, with their distances to those."""
+    # Few bytes mean much work here, so the number of tasks must not follow the bytes, and a busy
+    # route is spread over the salts.
+    tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = [*route, "_salt"]
+    salts = F.explode(F.sequence(_long(0), _long(SALTS - 1)))
+    spread = left.withColumn("_salt", _salt("code")).repartition(tasks, *keys)
+    pivots = chosen.withColumn("_salt", salts).repartition(tasks, *keys)
+    distances = F.transform("_pivots", lambda p: code_distance(F.col("code"), p["code"]))
+    return spread.join(pivots, keys).drop("_salt").withColumn("_d", distances)
+
+
+def _totals(measured: DataFrame, chosen: DataFrame, route: list[str], pivots: int) -> DataFrame:
+    """Exact totals of the pivots: what they knew, and their distances to all others."""
+    sums = F.array(*[F.sum(F.col("w") * F.get("_d", F.lit(k))) for k in range(pivots)])
+    each = F.arrays_zip(
+        F.col("_pivots").alias("p"),
+        F.slice("_sums", F.lit(1), F.size("_pivots")).alias("s"),
     )
-    # A busy route is spread over the salts; its distances are summed where they arise.
-    salts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(parts - 1).cast("bigint")))
-    # Few bytes mean much work here, so the number of tasks must not follow the bytes.
-    tasks = int(coded.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    exact = (
-        sequences.withColumn("_salt", _salt(parts))
-        .repartition(tasks, *route, "_salt")
-        .join(
-            left.withColumn("_salt", salts).repartition(tasks, *route, "_salt"),
-            [*route, "_salt"],
-        )
-        .groupBy(*route, F.col("_candidate").alias("code"))
-        .agg(F.sum(F.col("w") * F.levenshtein("code", "_candidate")).alias("total"))
+    return (
+        measured.groupBy(*route)
+        .agg(sums.alias("_sums"))
+        .join(chosen, route)
+        .select(*route, F.inline(each))
+        .select(*route, F.col("p.code").alias("code"), (F.col("p._known") + F.col("s")).alias("total"))
     )
-    exact = materialized(exact)
-    best = exact.groupBy(*route).agg(F.min("total").alias("total"))
-    return coded.join(exact.join(best, [*route, "total"]), [*route, "code"])
 
 
-def _salt(parts: int) -> Column:
-    return F.pmod(F.xxhash64("code"), F.lit(parts).cast("bigint"))
+def _raised(measured: DataFrame, found: DataFrame, route: list[str]) -> DataFrame:
+    """The trips that are not pivots, with bounds raised by what their distances tell."""
+    in_order = F.sort_array(F.collect_list(F.struct("code", "total")))
+    totals = found.groupBy(*route).agg(in_order["total"].alias("_totals"))
+    apart = F.transform(
+        F.arrays_zip(F.col("_d").alias("d"), F.col("_totals").alias("t")),
+        lambda x: F.abs(F.col("_n") * x["d"] - x["t"]),
+    )
+    pairs = F.arrays_zip(F.col("_d").alias("d"), F.col("_pivots").alias("p"))
 
+    def added(value: Callable[[Column], Column]) -> Column:
+        """The sum of a value of each pivot, as often as its sequence occurs."""
+        return F.aggregate(pairs, _long(0), lambda so_far, x: so_far + x["p"]["w"] * value(x))
 
-def _measured(sequences: DataFrame, route: list[str], pivots: int, parts: int) -> DataFrame:
-    """Each sequence with a lower bound of its total and its distances to the pivots."""
-    bounded = materialized(_bounded(sequences, route))
-    # The smallest bounds of a route are found within hashed parts of it first.
-    by_bound = [F.col("_bound"), F.col("code")]
-    part = Window.partitionBy(*route, "_salt").orderBy(*by_bound)
-    whole = Window.partitionBy(*route).orderBy(*by_bound)
-    chosen = (
-        bounded.withColumn("_salt", _salt(parts))
-        .withColumn("_rank", F.row_number().over(part))
-        .filter(F.col("_rank") <= pivots)
-        .withColumn("_rank", F.row_number().over(whole))
-        .filter(F.col("_rank") <= pivots)
-        .groupBy(*route)
-        .agg(F.sort_array(F.collect_list("code")).alias("_pivots"))
+    def spare(x: Column) -> Column:
+        """What the distance exceeds the part that this pair has in the bound."""
+        other = F.array_distinct(code_cells(x["p"]["code"]))
+        common = F.size(F.array_intersect("_cells", other))
+        return x["d"] - F.greatest(F.size("_cells"), F.size(other)) + common
+
+    return (
+        measured.join(totals, route)
+        .filter(~F.exists("_pivots", lambda p: p["code"] == F.col("code")))
+        .withColumn("_cells", F.array_distinct(code_cells(F.col("code"))))
+        .select(
+            *route,
+            *("code", "w", "_n"),
+            (F.col("_bound") + added(spare)).alias("_bound"),
+            (F.col("_known") + added(lambda x: x["d"])).alias("_known"),
+            F.greatest("_least", F.array_max(apart)).alias("_least"),
+        )
     )
-    distances = F.transform("_pivots", lambda pivot: F.levenshtein(F.col("code"), pivot))
-    return bounded.join(chosen, route).withColumn("_d", distances).drop("_pivots")
 
 
 def _bounded(sequences: DataFrame, route: list[str]) -> DataFrame:
@@ -189,10 +286,8 @@ def _bounded(sequences: DataFrame, route: list[str]) -> DataFrame:
     half of the number of cells in just one of them plus half the difference of the sizes.
     Both parts sum up over a route from counts per cell and per size.
     """
-    letters = F.array_distinct(
-        F.transform(F.sequence(F.lit(1), F.length("code")), lambda k: F.substr("code", k, F.lit(1)))
-    )
-    sets = sequences.filter(F.length("code") > 0).withColumn("_set", letters)
+    sets = sequences.filter(F.length("code") > 0)
+    sets = sets.withColumn("_set", F.array_distinct(code_cells(F.col("code"))))
     sets = sets.withColumn("_size", F.size("_set"))
     cells = sets.select(*route, "code", "w", F.explode("_set").alias("_cell"))
     passing = cells.groupBy(*route, "_cell").agg(F.sum("w").alias("_passing"))
