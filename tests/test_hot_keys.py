@@ -83,9 +83,8 @@ def test_fill_and_interpolation(segments):
     ticks = materialized(resample.time_bucket(one, step=3600))
     cut = materialized(slices.hot_keys(ticks, ["entity"], "tick", row_budget=60))
     assert rows(resample.interpolate(ticks)) == rows(resample.interpolate(ticks, hot=cut))
-    laid = materialized(resample.grid_join(resample.time_grid(ticks), ticks))
-    plain = resample.fill_gaps(laid)
-    assert rows(plain) == rows(resample.fill_gaps(laid, hot=cut))
+    plain = resample.fill_gaps(ticks)
+    assert rows(plain) == rows(resample.fill_gaps(ticks, hot=cut))
 
 
 def test_pairs(points, hot):
@@ -103,6 +102,21 @@ def test_pairs(points, hot):
     assert rows(plain) == rows(feed.pair_latest(coded, max_seconds=1e9, hot=hot))
 
 
+def test_a_burst_of_messages_is_cut_by_its_text(spark):
+    """One entity, one time: all messages would be in one slice."""
+    raw = F.concat(F.lit("8dabcdef"), F.lpad(F.hex(F.col("id") * 7919), 14, "0"), F.lit("ffffff"))
+    coded = spark.range(4000).select(
+        F.lit("abcdef").alias("entity"), F.lit(5.0).alias("t"), F.lower(raw).alias("raw"), (F.col("id") % 2).alias("odd"),
+        F.col("id").alias("y"), F.col("id").alias("x"), F.lit(0.0).alias("alt"),
+    )
+    numbered = coded.withColumn("_number", feed._text_number("raw"))
+    cut = materialized(slices.hot_keys(numbered, ["entity"], "t", row_budget=300, tie="_number"))
+    _, sliced = slices.split_hot(numbered, "t", cut, tie="_number")
+    largest = sliced.groupBy(slices.SLICE).count().agg(F.max("count")).first()[0]
+    assert sliced.count() == 4000 and largest <= 300
+    assert rows(feed.pair_latest(coded)) == rows(feed.pair_latest(coded, hot=cut))
+
+
 def test_partitioning_does_not_matter(points, segments):
     again = tracks.segment_tracks(points.repartition(5), gap_seconds=86400)
     assert rows(segments) == rows(again)

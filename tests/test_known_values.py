@@ -91,8 +91,7 @@ def test_interpolation_table(spark):
     assert found["15409a", 10] == 34.0
     assert found["15409b", 8] == pytest.approx(33 + 5 / 11)
     assert all(found[e, t] == lon for e, lon, t in DEMO)
-    laid = resample.grid_join(resample.time_grid(df, keys=["entity"]), df, keys=["entity"])
-    filled = resample.fill_gaps(laid, keys=["entity"], values=["lon"])
+    filled = resample.fill_gaps(df, keys=["entity"], values=["lon"])
     x = [F.col(c).cast("double") for c in ("tick", "prev_known", "next_known")]
     line = resample.between(*x, F.col("prev_lon"), F.col("next_lon"))
     for r in filled.select("entity", "tick", line.alias("lon")).collect():

@@ -110,27 +110,37 @@ def positions(messages: DataFrame, raw: str = "raw", t: str = "t") -> DataFrame:
     )
 
 
+def _text_number(raw: str) -> Column:
+    """A number that grows with the text of an entity's messages: all but the entity, 60 bits."""
+    text = F.lower(raw)
+    digits = F.concat(F.substring(text, 1, 2), F.rpad(F.substring(text, 9, 13), 13, "0"))
+    return F.coalesce(F.conv(digits, 16, 10).try_cast("double"), F.lit(0.0))
+
+
 def pair_latest(
     coded: DataFrame,
     *,
     max_seconds: float = MAX_PAIR_SECONDS,
     hot: DataFrame | None = None,
 ) -> DataFrame:
-    """Each position with the newest even and odd one of its entity up to it, if close in time."""
+    """Each position with the newest even and odd one of its entity up to it, if close in time.
+
+    Positions of one time are in the order of their text. A burst of very many is cut by it.
+    """
 
     def of(parity: int) -> Column:
         return F.when(F.col("odd") == parity, F.struct("t", "y", "x"))
 
-    parts = coded.withColumns({"_even": of(0), "_odd": of(1)})
+    parts = coded.withColumns({"_even": of(0), "_odd": of(1), "_number": _text_number("raw")})
     wanted = {"even": "_even", "odd_one": "_odd"}
 
     def compute(rows: DataFrame, slice_col: str | None) -> DataFrame:
         return slices.nearest_known(
-            rows, ["entity"], ["t", "raw"], wanted, forward=True, slice_col=slice_col
+            rows, ["entity"], ["t", "_number", "raw"], wanted, forward=True, slice_col=slice_col
         )
 
-    hot = slices.hot_keys(coded, ["entity"], "t") if hot is None else hot
-    paired = slices.per_key(parts, "t", hot, compute).drop("_even", "_odd")
+    hot = slices.hot_keys(parts, ["entity"], "t", tie="_number") if hot is None else hot
+    paired = slices.per_key(parts, "t", hot, compute, tie="_number").drop("_even", "_odd", "_number")
     gap = F.abs(F.col("even.t") - F.col("odd_one.t"))
     return paired.filter(gap <= max_seconds)
 

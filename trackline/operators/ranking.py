@@ -161,3 +161,37 @@ def nearest_threshold(roc: DataFrame, to: float = 0.5) -> DataFrame:
     """The ROC point whose threshold is nearest to ``to``, the higher one of two."""
     gap = F.struct(F.abs(F.col("threshold") - to), -F.col("threshold"))
     return roc.agg(F.min_by(F.struct("threshold", "fpr", "tpr"), gap).alias("_p")).select("_p.*")
+
+
+SKETCH_K = 400  # rank error below one per cent
+SKETCH_ERROR = 0.01
+
+
+def quantile_sketches(
+    df: DataFrame, column: str, keys: Sequence[str], *, k: int = SKETCH_K
+) -> DataFrame:
+    """One mergeable sketch of the values per key, of bounded size; nulls do not count.
+
+    Sketches of days (or any other parts) are kept and merged later, so that quantiles of any
+    span need no second look at the rows.
+    """
+    value = F.col(column).cast("double")
+    return df.groupBy(*keys).agg(F.kll_sketch_agg_double(value, F.lit(k)).alias("sketch"))
+
+
+def sketch_quantiles(
+    sketches: DataFrame, at: Sequence[float], keys: Sequence[str] = ()
+) -> DataFrame:
+    """Per key and level: ``n`` values and ``value``, whose rank is off by SKETCH_ERROR at most."""
+    merged = sketches.groupBy(*keys).agg(F.kll_merge_agg_double("sketch").alias("_all"))
+    found = F.array(
+        *[
+            F.struct(
+                F.lit(q).alias("level"),
+                F.kll_sketch_get_n_double("_all").alias("n"),
+                F.kll_sketch_get_quantile_double("_all", F.lit(q)).alias("value"),
+            )
+            for q in at
+        ]
+    )
+    return merged.filter(F.kll_sketch_get_n_double("_all") > 0).select(*keys, F.inline(found))

@@ -5,10 +5,12 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from trackline.operators import slices
 from trackline.operators.routes import ROUTE
+from trackline.session import materialized
 
 KDE_POINTS = 100
 
@@ -85,6 +87,53 @@ def volume_asof(
     )
 
 
+def volume_series(
+    events: DataFrame,
+    times: DataFrame,
+    *,
+    name: str = "name",
+    label: str = "type",
+    t: str = "t",
+    at: str = "at",
+    hot: DataFrame | None = None,
+) -> DataFrame:
+    """Events per place and label before each of many times, in one pass over the events.
+
+    ``times`` has a column ``at``. An event counts from the first of the times after it; those
+    counts are added up along the times of a place. Places have rows from their first event on.
+    An event without a time counts nowhere.
+    """
+    known = times.select(F.col(at).cast("double").alias(at)).na.drop().distinct()
+    every = Window.orderBy(at)  # the times of a report, not of the events
+    known = materialized(known.withColumn("_slot", F.row_number().over(every)))
+    marks = known.select(F.col(at).alias("_t"), F.lit(0).alias("_kind"), "_slot")
+    rows = events.filter(F.col(t).isNotNull()).select(
+        F.col(t).cast("double").alias("_t"), F.lit(1).alias("_kind"), name, label
+    )
+    both = marks.unionByName(rows, allowMissingColumns=True).withColumn("_all", F.lit(0))
+    both = materialized(both)
+
+    def compute(part: DataFrame, slice_col: str | None) -> DataFrame:
+        return slices.nearest_known(
+            part, ["_all"], ["_t", "_kind"], {"_first": "_slot"}, forward=False, slice_col=slice_col
+        )
+
+    hot = slices.hot_keys(both, ["_all"], "_t") if hot is None else hot
+    counted = (
+        slices.per_key(both, "_t", hot, compute)
+        .filter((F.col("_kind") == 1) & F.col("_first").isNotNull())
+        .groupBy(name, label, "_first")
+        .agg(F.count(F.lit(1)).alias("_n"))
+    )
+    along = Window.partitionBy(name, label).orderBy("_first")
+    last = known.agg(F.max("_slot")).scalar()
+    until = F.coalesce(F.lead("_first").over(along) - 1, last)
+    totals = counted.select(
+        name, label, F.sum("_n").over(along).alias("n"), "_first", until.alias("_until")
+    ).withColumn("_slot", F.explode(F.sequence("_first", "_until")))
+    return totals.join(known, "_slot").select(at, name, label, "n", type_name(label).alias("type_name"))
+
+
 def snapshot(points: DataFrame, at: int, *, t: str = "t") -> DataFrame:
     """Points whose whole second is ``at``."""
     return points.filter(F.floor(t) == at)

@@ -72,28 +72,33 @@ def _spread(blocks: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def grid_join(
-    grid: DataFrame,
     points: DataFrame,
     *,
     keys: Sequence[str] = TRIP,
     tick: str = "tick",
-    known: str = "known",
+    values: Sequence[str] = VALUES,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
-    """Lay the points on the grid; ``known`` is the tick where there is a point."""
-    return grid.join(points.withColumn(known, F.col(tick)), [*keys, tick], "left")
+    """The points on their grid: one row per tick, ``known`` is the tick where there is a point."""
+    filled = fill_gaps(points, keys=keys, tick=tick, values=values, hot=hot)
+    return filled.select(*keys, tick, "known", *values)
 
 
 def fill_gaps(
-    laid: DataFrame,
+    points: DataFrame,
     *,
     keys: Sequence[str] = TRIP,
     tick: str = "tick",
-    known: str = "known",
     values: Sequence[str] = VALUES,
     hot: DataFrame | None = None,
 ) -> DataFrame:
-    """Add the last and next known tick and values as ``prev_*`` and ``next_*``."""
-    columns = [known, *values]
+    """The points on their grid, with the last and next known tick and values as ``prev_*`` and ``next_*``.
+
+    Each point makes the ticks up to the next point and tells them what it knows, so that only the
+    points are shuffled and sorted, not the grid. A value that a point lacks comes from the nearest
+    point that has it. Points have different ticks within a trip (``time_bucket``).
+    """
+    columns = ["known", *values]
 
     def compute(rows: DataFrame, slice_col: str | None) -> DataFrame:
         for name, forward in (("prev", True), ("next", False)):
@@ -101,10 +106,28 @@ def fill_gaps(
             rows = slices.nearest_known(
                 rows, keys, [tick], wanted, forward=forward, slice_col=slice_col
             )
-        return rows
+        ahead = {"_until": (tick, 1), **{f"_after_{c}": (f"next_{c}", 1) for c in columns}}
+        return slices.neighbours(rows, keys, [tick], ahead, slice_col)
 
-    hot = slices.hot_keys(laid, keys, tick) if hot is None else hot
-    return slices.per_key(laid, tick, hot, compute)
+    hot = slices.hot_keys(points, keys, tick) if hot is None else hot
+    known = points.select(*keys, tick, *values).withColumn("known", F.col(tick))
+    linked = slices.per_key(known, tick, hot, compute)
+    blocks, ticks = ticks_between(F.col(tick), F.coalesce(F.col("_until") - 1, F.col(tick)))
+    own = F.col("_tick") == F.col(tick)
+    return (
+        _spread(linked.withColumn("_block", blocks), keys)
+        .withColumn("_tick", ticks)
+        .select(
+            *keys,
+            F.col("_tick").alias(tick),
+            *[F.when(own, F.col(c)).alias(c) for c in columns],
+            *[f"prev_{c}" for c in columns],
+            *[
+                F.when(own, F.col(f"next_{c}")).otherwise(F.col(f"_after_{c}")).alias(f"next_{c}")
+                for c in columns
+            ],
+        )
+    )
 
 
 def between(x: Column, x0: Column, x1: Column, y0: Column, y1: Column) -> Column:

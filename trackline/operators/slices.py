@@ -21,7 +21,7 @@ ROW_BUDGET = 4_000_000  # rows of one key that one task may sort
 INTERVALS = 64  # time intervals of about equal row counts, each cut further if need be
 OVERSPLIT = 4  # slices per row budget, as rows are not quite even within an interval
 CUTS = ("_edges", "_parts", "_bursts")
-TIE = "id"  # orders rows of equal times; where it is a number, bursts are cut by it
+TIE = "id"  # orders rows of equal times; where there is such a number, bursts are cut by it
 
 
 def hot_keys(
@@ -29,17 +29,18 @@ def hot_keys(
     keys: Sequence[str],
     t: str,
     row_budget: int = ROW_BUDGET,
+    tie: str = TIE,
 ) -> DataFrame:
     """Keys with more rows than ``row_budget``, and how to cut their rows by time.
 
     Times that hold many rows of a key on their own (a default clock, a burst) are cut by
-    TIE. One row per hot key; there are at most as many as the budget goes into all rows.
+    ``tie``, a number that comes next in the order of rows. One row per hot key; there are at most as many as the budget goes into all rows.
     Joins with it are left to Spark, which broadcasts it only while it is small.
     """
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     large = sizes.filter(F.col("_n") > row_budget)
     levels = [k / INTERVALS for k in range(INTERVALS + 1)]
-    times = df.select(*keys, F.col(t).cast("double").alias("_t"), _tie(df).alias("_tie"))
+    times = df.select(*keys, F.col(t).cast("double").alias("_t"), _tie(df, tie).alias("_tie"))
     times = times.join(large.select(*keys), list(keys))
     cuts = times.groupBy(*keys).agg(
         F.percentile_approx("_t", levels).alias("_edges"),
@@ -56,12 +57,12 @@ def hot_keys(
     return cuts.join(bursts, list(keys), "left").withColumn("_bursts", F.coalesce("_bursts", none))
 
 
-def _tie(df: DataFrame) -> Column:
-    number = dict(df.dtypes).get(TIE) in ("int", "bigint", "double", "float", "smallint")
-    return F.col(TIE).cast("double") if number else F.lit(None).cast("double")
+def _tie(df: DataFrame, tie: str) -> Column:
+    number = dict(df.dtypes).get(tie) in ("int", "bigint", "double", "float", "smallint")
+    return F.col(tie).cast("double") if number else F.lit(None).cast("double")
 
 
-def split_hot(df: DataFrame, t: str, hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+def split_hot(df: DataFrame, t: str, hot: DataFrame, tie: str = TIE) -> tuple[DataFrame, DataFrame]:
     """(rows of ordinary keys, rows of hot keys with a ``_slice`` column).
 
     Slices are in the order of time, and within a burst in the order of its ties.
@@ -74,7 +75,7 @@ def split_hot(df: DataFrame, t: str, hot: DataFrame) -> tuple[DataFrame, DataFra
     part = F.floor(F.try_divide(time - low, high - low) * F.col("_parts"))
     part = F.greatest(F.least(F.coalesce(part, F.lit(0)), F.col("_parts") - 1), F.lit(0))
     burst = F.get(F.filter("_bursts", lambda b: b["t"] == time), F.lit(0))["ties"]
-    number = _tie(df)
+    number = _tie(df, tie)
     piece = F.when(number.isNotNull(), F.size(F.filter(burst, lambda edge: edge <= number)))
     sliced = (
         df.join(hot, keys)
@@ -97,13 +98,14 @@ def per_key(
     t: str,
     hot: DataFrame,
     compute: Callable[[DataFrame, str | None], DataFrame],
+    tie: str = TIE,
 ) -> DataFrame:
     """Run ``compute(rows, slice_col)`` on ordinary and on hot keys; keep all rows.
 
     ``hot`` comes from ``hot_keys``. It may be keyed by a prefix of the keys that
     ``compute`` works on: a trip can only be large if its entity is.
     """
-    cold, sliced = split_hot(df, t, hot)
+    cold, sliced = split_hot(df, t, hot, tie)
     return compute(cold, None).unionByName(compute(sliced, SLICE).drop(SLICE))
 
 

@@ -8,6 +8,7 @@ from trackline.plans import (  # noqa: F401  (each registers its queries)
     reports,
     resample,
     routes,
+    stores,
     tracks,
 )
 from trackline.plans.registry import ORACLE, QUERIES

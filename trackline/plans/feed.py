@@ -253,14 +253,60 @@ def _pair_latest(i: Inputs) -> DataFrame:
     )
 
 
+SQL["coded_positions"] = (
+    "checked",
+    """SELECT *, (me >> 34) & 1 = 1 AS odd, ((me >> 17) & 131071) / 131072 AS y,
+              (me & 131071) / 131072 AS x
+       FROM (SELECT substr(raw, 3, 6) AS entity, t, raw,
+                    CAST('0x' || substr(raw, 9, 14) AS BIGINT) AS me
+             FROM checked WHERE reject IS NULL AND df IN (17, 18) AND tc BETWEEN 9 AND 18)""",
+)
+SQL["position_pairs"] = (
+    "coded_positions",
+    """SELECT * FROM (
+         SELECT *, last_value(CASE WHEN NOT odd THEN {'t': t, 'y': y, 'x': x} END IGNORE NULLS) OVER w AS e,
+                last_value(CASE WHEN odd THEN {'t': t, 'y': y, 'x': x} END IGNORE NULLS) OVER w AS o
+         FROM coded_positions WINDOW w AS (PARTITION BY entity ORDER BY t, raw
+                                           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+       WHERE abs(e.t - o.t) <= 1""",
+)
+SQL["fixes"] = (
+    "position_pairs",
+    f"""SELECT entity, t, lat, CASE WHEN lon >= 180 THEN lon - 360 ELSE lon END AS lon,
+               25.0::DOUBLE * (((code >> 5) << 4) | (code & 15)) - 1000 AS alt
+        FROM (SELECT *, 360.0::DOUBLE / n * (m - n * floor(m / n) + CASE WHEN odd THEN o.x ELSE e.x END)
+                        AS lon, (me >> 36) & 4095 AS code
+              FROM (SELECT *, floor(e.x * (zones - 1) - o.x * zones + 0.5) AS m,
+                           greatest(zones - CAST(odd AS INTEGER), 1) AS n,
+                           CASE WHEN odd THEN o_lat ELSE e_lat END AS lat
+                    FROM (SELECT *, {_zones("e_lat")} AS zones, {_zones("o_lat")} AS o_zones
+                          FROM (SELECT *, 6.0::DOUBLE * (j - 60 * floor(j / 60) + e.y) AS e_lat,
+                                       360.0::DOUBLE / 59 * (j - 59 * floor(j / 59) + o.y) AS o_lat
+                                FROM (SELECT *, floor(59 * e.y - 60 * o.y + 0.5) AS j
+                                      FROM position_pairs)))
+                    WHERE zones = o_zones))""",
+)
+
+
 @query(
     "position_fix",
+    """SELECT entity, t, round(lon, 6) AS lon, round(lat, 6) AS lat, alt FROM fixes""",
+    "fixes",
+)
+def _position_fix(i: Inputs) -> DataFrame:
+    """Where each position message was sent from."""
+    pairs = feed.pair_latest(materialized(feed.positions(messages(i))), max_seconds=1)
+    return feed.position_fix(pairs).withColumns({c: F.round(c, 6) for c in ("lon", "lat")})
+
+
+@query(
+    "position_check",
     """SELECT lower(lpad(hex(p.entity + 4194304), 6, '0')) AS entity, t + 0.5::DOUBLE AS t,
               25.0::DOUBLE * round((alt + 1000) / 25) - 1000 AS alt, TRUE AS near
        FROM points p JOIN events ON id = event_id WHERE event_type IN ('view', 'click')""",
     "points",
 )
-def _position_fix(i: Inputs) -> DataFrame:
+def _position_check(i: Inputs) -> DataFrame:
     """Decoded positions are those the messages were made from, within 20 metres."""
     fixes = feed.position_fix(
         feed.pair_latest(materialized(feed.positions(messages(i))), max_seconds=1)

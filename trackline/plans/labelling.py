@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trackline.operators import fuzzy, labels, ml, ranking
+from trackline.operators import fuzzy, labels, ml, ranking, report
 from trackline.plans.places import rounded
 from trackline.plans.registry import query
 from trackline.plans.reports import trips
@@ -118,6 +118,81 @@ def _model_sum(i: Inputs) -> DataFrame:
     return attached.groupBy("match").agg(F.sum("type").alias("cargo"))
 
 
+SQL["matched"] = (
+    "models matches model_dictionary",
+    """SELECT part, models.model, coalesce(match, 'else') AS match,
+              coalesce(TRY_CAST(replace(split_part(d.payload, ' ', 1), ',', '') AS INTEGER), 103000) AS kg,
+              coalesce(TRY_CAST(replace(split_part(d.range, ' ', 1), ',', '') AS INTEGER), 5500) AS km
+       FROM models LEFT JOIN matches ON models.model = matches.model
+       LEFT JOIN model_dictionary d ON d.name = matches.match WHERE models.type = 1""",
+)
+QUANTITIES = {"kg": ("payload", 103000), "km": ("range", 5500)}
+
+
+def matched(i: Inputs) -> DataFrame:
+    """Labelled aircraft with payload and range of the dictionary row that their model matches."""
+    cargo = i.models().filter("type = 1").select("part", "model")
+    found = fuzzy.fuzzy_match(cargo, i.model_names(), name="model", entry="name")
+    attached = fuzzy.attach_model(cargo, found, i.model_dictionary(), key="part")
+    numbers = {c: report.parse_quantity(text, other) for c, (text, other) in QUANTITIES.items()}
+    return attached.withColumns(numbers).select("part", "model", "match", *QUANTITIES)
+
+
+@query("matched_quantities", "SELECT part, match, kg, km FROM matched", "matched")
+def _matched_quantities(i: Inputs) -> DataFrame:
+    return matched(i).select("part", "match", "kg", "km")
+
+
+@query(
+    "quantity_counts",
+    """SELECT 'kg' AS quantity, kg AS value, count(*) AS n FROM matched GROUP BY kg
+       UNION ALL SELECT 'km', km, count(*) FROM matched GROUP BY km""",
+    "matched",
+)
+def _quantity_counts(i: Inputs) -> DataFrame:
+    """How many labelled aircraft have each payload and each range."""
+    each = F.inline(F.array(*[F.struct(F.lit(c).alias("quantity"), F.col(c).alias("value")) for c in QUANTITIES]))
+    return matched(i).select(each).groupBy("quantity", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "quantity_quantiles",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS quantity, {q}::DOUBLE AS level,
+                   round(quantile_cont(CAST({c} AS DOUBLE), {q}), 6) AS value FROM matched"""
+        for c in QUANTITIES
+        for q in (0.05, 0.25, 0.5, 0.75, 0.95)
+    ),
+    "matched",
+)
+def _quantity_quantiles(i: Inputs) -> DataFrame:
+    """The five levels that are drawn into the density of payload and of range."""
+    found = materialized(matched(i))
+    kg, km = (
+        ranking.quantiles(found, c, (0.05, 0.25, 0.5, 0.75, 0.95)).withColumn("quantity", F.lit(c))
+        for c in QUANTITIES
+    )
+    return rounded(kg.unionByName(km), "value")
+
+
+@query(
+    "range_density",
+    f"""SELECT point, any_value(round(x, 6)) AS x,
+               round(sum(exp((km - x) / h * (km - x) / h / -2)) / any_value(n * h * sqrt(2 * pi())), 9) AS density
+        FROM (SELECT *, lo + width * 2 * point / {report.KDE_POINTS - 1} AS x
+              FROM (SELECT km::DOUBLE AS km FROM matched),
+                   (SELECT min(km) - (max(km) - min(km)) / 2.0::DOUBLE AS lo, count(*) AS n,
+                           (max(km) - min(km))::DOUBLE AS width,
+                           stddev_samp(km) * count(*) ** -0.2 AS h FROM matched),
+                   (SELECT CAST(unnest(range({report.KDE_POINTS})) AS INTEGER) AS point))
+        GROUP BY point""",
+    "matched",
+)
+def _range_density(i: Inputs) -> DataFrame:
+    found = report.kernel_density(materialized(matched(i)), "km")
+    return rounded(rounded(found, "x"), "density", decimals=9)
+
+
 @query(
     "daylight_features",
     """SELECT flight, startarea, endarea, round(start_sunrise, 6) AS start_sunrise,

@@ -98,11 +98,11 @@ def resampled(i: Inputs, at: int) -> DataFrame:
 @query(
     "top_airlines",
     """SELECT airline, count(*) AS n FROM trips WHERE type = 1 GROUP BY airline
-       ORDER BY n DESC, airline LIMIT 3""",
+       ORDER BY n DESC, airline LIMIT 5""",
     "trips",
 )
 def _top_airlines(i: Inputs) -> DataFrame:
-    return ranking.top_by_count(trips(i).filter("type = 1"), "airline", 3)
+    return ranking.top_by_count(trips(i).filter("type = 1"), "airline", 5)
 
 
 @query(
@@ -111,13 +111,13 @@ def _top_airlines(i: Inputs) -> DataFrame:
               count(*) AS trips
        FROM trips WHERE type = 1 AND airline IN (
             SELECT airline FROM trips WHERE type = 1 GROUP BY airline
-            ORDER BY count(*) DESC, airline LIMIT 3)
+            ORDER BY count(*) DESC, airline LIMIT 5)
        GROUP BY ALL""",
     "trips",
 )
 def _airline_by_day(i: Inputs) -> DataFrame:
     cargo = trips(i).filter("type = 1")
-    return report.airline_by_day(cargo, ranking.top_by_count(cargo, "airline", 3))
+    return report.airline_by_day(cargo, ranking.top_by_count(cargo, "airline", 5))
 
 
 @query(
@@ -181,6 +181,47 @@ def _volume_asof(i: Inputs) -> DataFrame:
     return report.volume_asof(ends, SHIPPED)
 
 
+SQL["sliders"] = ("routes", "SELECT DISTINCT t AS moment FROM routes WHERE CAST(t / 86400 AS BIGINT) % 5 = 0")
+
+
+@query(
+    "volume_series",
+    """SELECT moment, name, type, count(*) AS n,
+              CASE WHEN type = 1 THEN 'Cargo' ELSE 'Passenger' END AS type_name
+       FROM sliders JOIN (SELECT unnest([start, "end"]) AS name, type, t FROM routes) ON t < moment
+       GROUP BY moment, name, type""",
+    "routes sliders",
+)
+def _volume_series(i: Inputs) -> DataFrame:
+    """Volumes of all places at several hundred positions of the slider."""
+    ends = i.routes().select(F.explode(F.array("start", "end")).alias("name"), "type", "t")
+    sliders = i.routes().filter((F.col("t") / 86400).cast("bigint") % 5 == 0)
+    return report.volume_series(ends, sliders.select(F.col("t").alias("moment")), at="moment")
+
+
+@query(
+    "quantile_sketch",
+    " UNION ALL ".join(
+        f"""SELECT type, {q}::DOUBLE AS level, count(max_alt) AS n, TRUE AS near FROM flights
+            GROUP BY type"""
+        for q in (0.05, 0.25, 0.5, 0.75, 0.95)
+    ),
+    "flights",
+)
+def _quantile_sketch(i: Inputs) -> DataFrame:
+    """Quantiles per label from the sketches of days, and whether their ranks are as near as stated."""
+    days = i.flights().withColumn("day", report.day("t0"))
+    kept = materialized(ranking.quantile_sketches(days, "max_alt", ["type", "day"]))
+    found = ranking.sketch_quantiles(kept, (0.05, 0.25, 0.5, 0.75, 0.95), ["type"])
+    ranks = i.flights().select(F.col("type").alias("_type"), "max_alt").join(
+        found, F.col("_type").eqNullSafe(F.col("type"))
+    )
+    below, upto = (F.count_if(c) / F.count("max_alt") for c in (F.col("max_alt") < F.col("value"), F.col("max_alt") <= F.col("value")))
+    error = ranking.SKETCH_ERROR
+    near = (below <= F.col("level") + error) & (upto >= F.col("level") - error)
+    return ranks.groupBy("type", "level", "n").agg(near.alias("near"))
+
+
 @query("snapshot", f"SELECT * FROM resampled WHERE floor(t) = {MIDDLE}", "resampled")
 def _snapshot(i: Inputs) -> DataFrame:
     return report.snapshot(resampled(i, MIDDLE), MIDDLE)

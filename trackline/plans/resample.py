@@ -65,11 +65,6 @@ def ticks(i: Inputs) -> DataFrame:
     return resample.time_bucket(segments(i), step=STEP)
 
 
-def laid(i: Inputs) -> DataFrame:
-    known = materialized(ticks(i))
-    return resample.grid_join(resample.time_grid(known), known)
-
-
 def airline_types(i: Inputs) -> DataFrame:
     flights = labels.attach_airline(i.flights(), i.airlines())
     return labels.most_frequent(flights, ["airline"], "type")
@@ -87,12 +82,12 @@ def _time_grid(i: Inputs) -> DataFrame:
 
 @query("grid_join", "SELECT * FROM laid", "laid")
 def _grid_join(i: Inputs) -> DataFrame:
-    return laid(i)
+    return resample.grid_join(materialized(ticks(i)))
 
 
 @query("ffill_bfill", "SELECT * FROM filled", "filled")
 def _ffill_bfill(i: Inputs) -> DataFrame:
-    return resample.fill_gaps(materialized(laid(i)))
+    return resample.fill_gaps(materialized(ticks(i)))
 
 
 @query(

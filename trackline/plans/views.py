@@ -149,6 +149,20 @@ class Inputs:
         """The dictionary of right model names."""
         return self.table("part").select(F.col("p_name").alias("name")).distinct()
 
+    def model_dictionary(self) -> DataFrame:
+        """The dictionary with what a model carries and how far it goes, as texts; some lack one."""
+        size, price = F.min("p_size"), F.floor(F.min("p_retailprice")).cast("bigint")
+        known = self.table("part").groupBy(F.col("p_name").alias("name"))
+        return known.agg(size.alias("_size"), price.alias("_price")).select(
+            "name",
+            F.when(
+                F.col("_size") % 10 != 0, F.concat(F.col("_size").cast("string"), F.lit(",000 kg"))
+            ).alias("payload"),
+            F.when(
+                F.col("_price") % 7 != 0, F.concat(F.col("_price").cast("string"), F.lit(" km"))
+            ).alias("range"),
+        )
+
     def scores(self) -> DataFrame:
         """A fixed score per labelled document, and its true label."""
         return self.table("documents").join(self.table("labels"), "doc_id").select(
@@ -218,6 +232,14 @@ SQL: dict[str, tuple[str, str]] = {
            FROM part""",
     ),
     "model_names": ("", "SELECT DISTINCT p_name AS name FROM part"),
+    "model_dictionary": (
+        "",
+        """SELECT name, CASE WHEN size % 10 <> 0 THEN size || ',000 kg' END AS payload,
+                  CASE WHEN price % 7 <> 0 THEN price || ' km' END AS range
+           FROM (SELECT p_name AS name, min(p_size) AS size,
+                        CAST(floor(min(p_retailprice)) AS BIGINT) AS price
+                 FROM part GROUP BY p_name)""",
+    ),
     "scores": (
         "",
         """SELECT doc_id, CAST(n_chars % 97 AS DOUBLE) / 97 AS score, quality AS truth
