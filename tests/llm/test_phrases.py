@@ -66,7 +66,7 @@ def test_odd_rows(spark):
 
 def test_a_stripe_over_many_batches():
     batch = phrases._stripes_of("en", ["a b c", "a c", "a. b"], 1, None, None)
-    first = phrases._added_up(batch.to_pylist() and phrases.pa.Table.from_batches([batch]))
+    first = phrases._added_up(phrases._unpacked(batch))
     again = phrases._added_up(phrases.pa.concat_tables([first.slice(0, 1), first.slice(0, 1)]))
     assert again.num_rows == 1 and again["total"][0].as_py() == 2 * first["total"][0].as_py() == 14
     assert [x * 2 for x in first["counts"][0].as_py()] == again["counts"][0].as_py()

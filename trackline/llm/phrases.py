@@ -40,6 +40,8 @@ BREAK = b"."
 SEPARATORS = bytes(BREAK[0] if chr(b) in ".,;:!?\n\v\f\r" else b for b in range(256))
 STRIPE = "lang string, prefix string, part int, total long, nexts array<string>, counts array<long>"
 COLUMNS = ["lang", "prefix", "part", "total", "nexts", "counts"]
+# On the way to the merge: next words in one text (words have no blanks), counts as 32-bit numbers in one binary.
+PACKED = "lang string, prefix string, part int, total long, nexts string, counts binary"
 
 
 def hash_of(word: bytes) -> int:
@@ -128,22 +130,35 @@ def _stripes_of(lang: str, texts: list[str], length: int, frequent: np.ndarray |
 
 
 def _columns(lang, prefixes, part, totals, borders, names, nexts, counts) -> pa.RecordBatch:
-    borders = pa.array(borders, pa.int32())
+    words = pa.ListArray.from_arrays(pa.array(borders, pa.int32()), names.take(pa.array(nexts)))
+    places = pa.py_buffer(np.asarray(borders, np.int32) * 4)
+    packed = pa.Array.from_buffers(pa.binary(), len(part), [None, places, pa.py_buffer(np.asarray(counts, np.int32))])
     return pa.RecordBatch.from_arrays(
-        [pa.array([lang] * len(part), pa.string()), prefixes.cast(pa.string()), pa.array(part, pa.int32()), pa.array(totals, pa.int64()),
-         pa.ListArray.from_arrays(borders, names.take(pa.array(nexts))), pa.ListArray.from_arrays(borders, pa.array(counts, pa.int64()))],
+        [pa.array([lang] * len(part), pa.string()), prefixes.cast(pa.string()), pa.array(part, pa.int32()),
+         pa.array(totals, pa.int64()), pc.binary_join(words, " "), packed],
         COLUMNS,
     )
 
 
+def _unpacked(batch: pa.RecordBatch) -> pa.Table:
+    """Packed stripes as arrays of next words and counts."""
+    texts, packed = batch.column("nexts"), batch.column("counts")
+    sizes = pc.binary_length(packed).to_numpy() // 4
+    borders = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
+    words = pc.split_pattern(texts.filter(pa.array(sizes > 0)), " ").flatten()  # no words are one empty text
+    counts = np.frombuffer(b"".join(packed.to_pylist()), np.int32).astype(np.int64)
+    lists = [pa.ListArray.from_arrays(borders, x) for x in (words, pa.array(counts))]
+    return pa.table([*(batch.column(c) for c in COLUMNS[:4]), *lists], COLUMNS)
+
+
 def merged(stripes: DataFrame, least: int) -> DataFrame:
     """One stripe per (lang, prefix, part), added up elementwise; next words below ``least`` occurrences go."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None  # the last stripe so far; it may go on
         for batch in batches:
-            rows = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
-            done = _added_up(rows)
+            rows = _unpacked(batch)
+            done = _added_up(rows if held is None else pa.concat_tables([held, rows]))
             if done.num_rows > 1:
                 yield from _frequent(done.slice(0, done.num_rows - 1), least).to_batches()
             held = done.slice(done.num_rows - 1) if done.num_rows else None
@@ -227,7 +242,7 @@ def stripes(
     out: list[DataFrame] = []
     filters = None
     for length in range(1, longest + 1):
-        made = merged(named.mapInArrow(_counter(length, filters, portion), STRIPE), least)
+        made = merged(named.mapInArrow(_counter(length, filters, portion), PACKED), least)
         out.append(materialized(made))
         if length < longest:
             found = materialized(entries(out[-1]).select("lang", F.array_join("words", " ").alias("phrase"), "a"))
