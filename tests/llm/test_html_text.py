@@ -87,6 +87,16 @@ def test_linked_title_and_list(tag):
     assert main_text(page) == " ".join(["Title Body of it", *[f"Source {n}" for n in range(6)]])
 
 
+def test_names_inside_an_article_count_by_what_they_name():
+    page = (
+        '<article><p>one</p><div class="related-work">two</div><h2 class="widget-title">three</h2>'
+        '<section id="search-methods"><p>four</p></section><div class="share-buttons">no</div><div id="ad-slot-3">no</div>'
+        '<p class="cookie-notice">no</p><div class="comments"><p>no</p></div><span class="ad">no</span>'
+        '<div class="relatedArticles">no</div><p class="notice-period">five</p></article>'
+    )
+    assert main_text(page) == "one two three four five"
+
+
 def test_article_of_links():
     page = f"<nav>{LINK % 'Home'}</nav><article><h2>{LINK % 'One'}</h2><p>{LINK % 'Two'}</p><aside>{LINK % 'x'}</aside></article>"
     assert main_text(page) == "One Two"

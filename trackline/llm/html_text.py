@@ -3,7 +3,7 @@
 Markup is stripped into lines, one per block element in page order. A line counts with the length
 of its text outside links; lines of menus, headers, footers, sidebars, notices, adverts, forms and
 reader comments count zero. Where a page marks its article, all lines in it but those of these kinds are the text, linked or
-not. Elsewhere the lengths
+not; there a class, id or role counts only by the word that names the thing (related-work is work). Elsewhere the lengths
 are summed over sliding windows of lines. A surge is where the sums rise from zero, the dive where they
 fall back to it; stretches between that reach ``enough`` characters, or a share of the highest sum, are kept with the
 linked lines that adjoin them, and from them all lines that are not of those kinds.
@@ -55,6 +55,12 @@ APART_WORDS = {
 }
 MAIN_WORDS = {"article", "main"}
 ABOUT_OTHERS = {"has", "no", "with", "without", "is"}  # has-sidebar: an element beside such a one
+# Words at the end of a class that say what shape a thing has, not what it is: ad-box, share-buttons.
+SHAPES = {
+    "area", "articles", "bar", "block", "bottom", "box", "button", "buttons", "container", "content", "form", "group", "icons", "inner",
+    "item", "items", "left", "link", "links", "list", "outer", "panel", "posts", "right", "row", "section", "slot", "stories",
+    "text", "top", "unit", "wrap", "wrapper",
+}
 OWN_HEADER = {"article", "post", "entry", "content", "story"}  # article-header
 
 
@@ -65,9 +71,14 @@ class Line:
         self.text, self.linked, self.apart, self.main = text, linked, apart, main
 
 
-def _hints(attributes: str) -> tuple[set[str], bool]:
-    """Words of class, id and role; whether the element is hidden."""
+def _hints(attributes: str) -> tuple[set[str], set[str], bool]:
+    """Words of class, id and role; of those the ones that name the thing; whether the element is hidden.
+
+    The last word of a name says what the thing is, but for shapes: a cookie-notice is a notice and share-buttons
+    are for sharing, but related-work is work and a widget-title is a title.
+    """
     words: set[str] = set()
+    things: set[str] = set()
     hidden = False
     if attributes and not attributes.isspace():
         for name, value in HINTS.findall(attributes):
@@ -78,10 +89,14 @@ def _hints(attributes: str) -> tuple[set[str], bool]:
                 hidden |= "display:none" in value.replace(" ", "").lower()
             elif name != "aria-label":
                 for token in value.split():
-                    own = {w.lower() for w in WORDS.findall(token)}
+                    named = [w.lower() for w in WORDS.findall(token)]
+                    own = set(named)
                     if not own & ABOUT_OTHERS:
                         words |= own - {"header"} if own & OWN_HEADER else own
-    return words, hidden
+                        while len(named) > 1 and (named[-1] in SHAPES or named[-1].isdigit()):
+                            named.pop()
+                        things |= set(named[-1:]) - ({"header"} if own & OWN_HEADER else set())
+    return words, things, hidden
 
 
 def lines(page: str) -> list[Line]:
@@ -130,7 +145,7 @@ def lines(page: str) -> list[Line]:
         if name in INLINE:
             if name != "span" and name != "a":
                 continue
-            if closing or not _hints(attributes)[0] & APART_WORDS:
+            if closing or not _hints(attributes)[1 if main else 0] & APART_WORDS:
                 if not (closing and open_elements and open_elements[-1][0] == name and name == "span"):
                     continue
         end_line()
@@ -144,12 +159,13 @@ def lines(page: str) -> list[Line]:
                 if open_elements and open_elements[-1][0] == name:  # its end tag was left out
                     open_elements.pop()
                     _, apart, main = open_elements[-1] if open_elements else ("", False, False)
-            words, hidden = _hints(attributes)
+            words, things, hidden = _hints(attributes)
             inside_main = main or name in MAIN or bool(words & MAIN_WORDS and name in {"div", "section"})
             kept = name == "header" and main  # the head of the article itself
             now_apart = apart or hidden or (name in APART and not kept)
-            if words & APART_WORDS and name not in {"html", "body"} | MAIN - ({"article"} if main else set()):
-                now_apart = now_apart or not (kept and words & APART_WORDS <= {"header"})
+            telling = (things if main else words) & APART_WORDS  # inside the article only what names the thing itself
+            if telling and name not in {"html", "body"} | MAIN - ({"article"} if main else set()):
+                now_apart = now_apart or not (kept and telling <= {"header"})
             open_elements.append((name, now_apart, inside_main))
         _, apart, main = open_elements[-1] if open_elements else ("", False, False)
     end_line()
