@@ -319,7 +319,7 @@ def _wide(value: Column) -> Column:
 
 def _best(scored: DataFrame, top: int, *within: Column) -> DataFrame:
     order = Window.partitionBy(*within).orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
-    return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    return scored.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= top)
 
 
 def sql(longest: int = 4, least: int = 30, share: int = 80, top: int = 2000) -> str:
@@ -331,9 +331,9 @@ WITH pieces AS (
          unnest(string_split_regex(translate(coalesce(text, ''), '{upper}', '{lower}'), '[.,;:!?\\n\\v\\f\\r]')) AS piece
   FROM documents
 ), worded AS (
-  SELECT lang, list_filter(string_split_regex(piece, '[ \\t]+'), x -> x <> '') AS words FROM pieces
+  SELECT lang, list_filter(string_split_regex(piece, '[ \\t]+'), lambda x: x <> '') AS words FROM pieces
 ), grams AS (
-  SELECT lang, size, unnest(list_transform(range(1, len(words) - size + 2), i -> words[i : i + size - 1])) AS words
+  SELECT lang, size, unnest(list_transform(range(1, len(words) - size + 2), lambda i: words[i : i + size - 1])) AS words
   FROM worded, range(1, {longest + 1}) AS s(size)
 ), counted AS (
   SELECT lang, words, len(words) AS size, count(*) AS f FROM grams GROUP BY ALL
