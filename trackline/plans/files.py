@@ -26,6 +26,35 @@ def _csv_roundtrip(i: Inputs) -> DataFrame:
     return readers.good_lines(readers.read_dirty_csv(i.spark, path, schema))
 
 
+@query(
+    "gzip_csv",
+    """SELECT event_type, count(*) AS n, CAST(sum(user_id) AS BIGINT) AS users FROM events
+       GROUP BY event_type""",
+)
+def _gzip_csv(i: Inputs) -> DataFrame:
+    """Counts over compressed files, whose rows are dealt out before the work."""
+    path = f"{scratch_dir(i.spark)}/events"
+    events = i.table("events").select("event_id", "user_id", "event_type")
+    writers.write_csv(events, path, compression="gzip")
+    schema = "event_id BIGINT, user_id BIGINT, event_type STRING"
+    read = readers.read_csv(i.spark, f"{path}/*.csv.gz", schema, spread=8)
+    return read.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("user_id").alias("users"))
+
+
+@query(
+    "csv_append",
+    """SELECT event_id, '类型 ' || event_type AS kind FROM events""",
+)
+def _csv_append(i: Inputs) -> DataFrame:
+    """Two runs that add to one folder, in an encoding other than Unicode."""
+    path = f"{scratch_dir(i.spark)}/kinds"
+    kinds = i.table("events").select("event_id", F.concat(F.lit("类型 "), "event_type").alias("kind"))
+    for half in (0, 1):
+        part = kinds.filter(F.col("event_id") % 2 == half)
+        writers.write_csv(part, path, mode="append", encoding="GBK")
+    return readers.read_csv(i.spark, path, "event_id BIGINT, kind STRING", encoding="GBK")
+
+
 @query("json_props", "SELECT event_id, CAST(props ->> '$.k' AS INTEGER) AS k FROM events")
 def _json_props(i: Inputs) -> DataFrame:
     return readers.parse_json(i.table("events").select("event_id", "props"), "props", "k INT")

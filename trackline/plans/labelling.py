@@ -5,15 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trackline.operators import fuzzy, labels, ml, ranking, report
+from trackline.operators import ensembles, fuzzy, labels, ml, ranking, report
 from trackline.plans.places import rounded
 from trackline.plans.registry import query
 from trackline.plans.reports import trips
 from trackline.plans.views import SQL, Inputs
-from trackline.session import materialized
+from trackline.session import materialized, scratch_dir
 
 RATIO = 0.5  # the given flights have more positive than negative entities
-TREES = 20
+RATIOS = [k / 10 for k in (10, 5, 4, 3.5, 3, 2.5, 2, 1.8, 1.6, 1.3, 1.2, 1.1, 1)]
+DEPTH = 5  # of the registered queries; a thousand trees of the default depth take too long here (README)
 CLIPPED = ("max_alt", "time", "distance")
 
 SQL["matches"] = (
@@ -347,29 +348,95 @@ def _roc_threshold(i: Inputs) -> DataFrame:
     )
 
 
+FOLDERS: dict[tuple[str, str], str] = {}  # where the forest of a session and a data folder lies
+
+
+def kept(i: Inputs, name: str, make) -> DataFrame:
+    """A table that several queries of a session use: written once, made again only if it is gone."""
+    path = f"{forest_folder(i)}/{name}"
+    if not ensembles.is_complete(i.spark, path):
+        make().write.mode("overwrite").parquet(path)
+    return i.spark.read.parquet(path)
+
+
+def forest_folder(i: Inputs) -> str:
+    key = i.spark.sparkContext.applicationId, i.sf_dir
+    return FOLDERS.setdefault(key, scratch_dir(i.spark))
+
+
+def sides(i: Inputs) -> tuple[DataFrame, DataFrame]:
+    """Training and test rows."""
+    both = kept(i, "known", lambda: learnable(i))
+    made: list[DataFrame] = []
+
+    def side(number: int) -> DataFrame:
+        if not made:
+            made.extend(ml.training_set(both, RATIO))
+        return made[number]
+
+    return kept(i, "train", lambda: side(0)), kept(i, "test", lambda: side(1))
+
+
+def forest(i: Inputs) -> list:
+    """The blocks of the forest, fitted once in a session and read from the shared folder after that."""
+    return ensembles.fit_forest(sides(i)[0], f"{forest_folder(i)}/forest", depth=DEPTH)
+
+
+def scored(i: Inputs) -> DataFrame:
+    """Test rows with the forest's score and label."""
+    return kept(i, "scored", lambda: ensembles.forest_predict(forest(i), sides(i)[1]))
+
+
 @query("rf_metrics")
 def _rf_metrics(i: Inputs) -> DataFrame:
-    train, test = ml.training_set(materialized(learnable(i)), RATIO)
-    return ml.compare(train, test, ["random_forest"], trees=TREES)
+    found = ml.metrics(scored(i), truth="type", predicted="predicted")
+    return found.select(F.lit("random_forest").alias("model"), "*")
+
+
+@query("rf_confusion")
+def _rf_confusion(i: Inputs) -> DataFrame:
+    return ml.confusion(scored(i), truth="type", predicted="predicted")
+
+
+@query("rf_roc")
+def _rf_roc(i: Inputs) -> DataFrame:
+    """The curve of the forest's own scores; ``chosen`` marks the point nearest to 0.5."""
+    points = materialized(ranking.roc_points(scored(i), "score", "type"))
+    best = ranking.nearest_threshold(points).select(F.col("threshold").alias("_best"))
+    return points.join(best, points.threshold == best._best, "left").select(
+        "threshold", "fpr", "tpr", F.col("_best").isNotNull().alias("chosen")
+    )
+
+
+@query("rf_importances")
+def _rf_importances(i: Inputs) -> DataFrame:
+    """What each feature gains in the trees, and what accuracy is lost without it."""
+    blocks, (_, test) = forest(i), sides(i)
+    gains = i.spark.createDataFrame(ensembles.impurity_importances(blocks), "feature string, gain double")
+    lost = ensembles.permutation_importances(blocks, test, "flight")
+    return gains.join(lost, "feature")
 
 
 @query("rf_label_fill")
 def _rf_label_fill(i: Inputs) -> DataFrame:
-    """Labels of all flights, the unknown ones as a forest trained on the known ones says."""
-    every = materialized(learnable(i))
-    train, _ = ml.training_set(every, RATIO)
-    forest = ml.classifier("random_forest", trees=TREES).fit(train)
+    """Labels of all flights, the unknown ones as the forest says."""
+    every = kept(i, "known", lambda: learnable(i))
     unknown = every.filter("type IS NULL").na.drop(subset=list(ml.FEATURES))
-    guessed = ml.predict(forest, unknown).select("flight", F.col("predicted").alias("type"))
+    guessed = ensembles.forest_predict(forest(i), unknown)
+    guessed = guessed.select("flight", F.col("predicted").alias("type"))
     return labels.label_fill(every, guessed, key="flight").select("flight", "type")
 
 
 @query("model_compare")
 def _model_compare(i: Inputs) -> DataFrame:
-    train, test = ml.training_set(materialized(learnable(i)), RATIO)
-    return ml.compare(train, test, trees=TREES)
+    """All families on the same rows; the forest is the one of ``rf_metrics``."""
+    train, test = sides(i)
+    others = [m for m in ml.MODELS if m != "random_forest"]
+    return ml.compare(train, test, others, depth=DEPTH).unionByName(_rf_metrics(i))
 
 
 @query("ratio_sweep")
 def _ratio_sweep(i: Inputs) -> DataFrame:
-    return ml.ratio_sweep(materialized(learnable(i)), [0.1, 0.2, 0.3], trees=TREES)
+    """One family over all ratios; the given flights have few negative entities, so tenths of them."""
+    every = kept(i, "known", lambda: learnable(i))
+    return ml.ratio_sweep(every, RATIOS, ["decision_tree"], depth=DEPTH)

@@ -31,14 +31,19 @@ def read_table(spark: SparkSession, *paths: str, fmt: str = "parquet") -> DataFr
 
 
 def read_csv(
-    spark: SparkSession, paths: str | Sequence[str], schema: str, *, spread: int | None = None
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    schema: str,
+    *,
+    spread: int | None = None,
+    encoding: str = "UTF-8",
 ) -> DataFrame:
     """CSV with a header line; globs and gzip allowed.
 
     A gzip file is read by one task however large it is; ``spread`` deals its rows out to
     that many partitions.
     """
-    rows = spark.read.schema(schema).option("header", True).csv(paths)
+    rows = spark.read.schema(schema).option("header", True).option("encoding", encoding).csv(paths)
     return rows.repartition(spread) if spread else rows
 
 

@@ -11,14 +11,20 @@ def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists") -> None
 
 
 def write_csv(
-    df: DataFrame, path: str, mode: str = "errorifexists", encoding: str = "UTF-8"
+    df: DataFrame,
+    path: str,
+    mode: str = "errorifexists",
+    encoding: str = "UTF-8",
+    compression: str = "none",
 ) -> None:
-    """CSV with a header line per file; ``mode="append"`` adds files to a folder.
+    """CSV with a header line per file, perhaps as gzip; ``mode="append"`` adds files to a folder.
 
     An ``encoding`` outside Unicode, such as GBK, needs ``spark.sql.legacy.javaCharsets``,
     which ``trackline.session`` turns on.
     """
-    df.write.mode(mode).option("header", True).option("encoding", encoding).csv(path)
+    df.write.mode(mode).option("header", True).option("encoding", encoding).csv(
+        path, compression=compression
+    )
 
 
 def write_json(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
