@@ -35,8 +35,11 @@ def attach_type(trips: DataFrame, types: DataFrame, airline: str = "airline") ->
 def label_fill(
     trips: DataFrame, predicted: DataFrame, *, key: str, label: str = "type"
 ) -> DataFrame:
-    """Keep known labels and take the predicted one where there is none."""
-    guesses = predicted.select(key, F.col(label).alias("_guess"))
+    """Keep known labels and take the predicted one where there is none.
+
+    Of several predictions for a key the most frequent one counts, the smaller of two.
+    """
+    guesses = predicted.groupBy(key).agg(F.mode(label, deterministic=True).alias("_guess"))
     return (
         trips.join(guesses, key, "left")
         .withColumn(label, F.coalesce(label, "_guess"))
@@ -67,6 +70,7 @@ def daylight_features(
 def sigma_clip(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """Drop rows more than three deviations off in any feature, clip the rest to two.
 
+    Rows that lack one of the features go as well, as nothing tells how far off they are.
     The two numbers per feature are fetched first, so the limits are constants that the
     scan can filter by.
     """
