@@ -49,8 +49,8 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents; every stretch that a span of a secret covers is replaced by a mark."""
     found = secrets.scan(docs, carry=docs.columns)
-    spans = F.array_sort(F.concat("base", "added"))
-    return _with_text(found, docs.columns, secrets.redacted(F.col("carried.text"), spans))
+    rows = found.select("carried", F.col("carried.text").alias("text"), F.concat("base", "added").alias("spans"))
+    return _with_text(secrets.redacted(rows, "text", "spans"), docs.columns, F.col("text"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,6 +10,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from trackline.llm import secrets
+from trackline.session import materialized
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 
@@ -106,8 +107,8 @@ def test_redaction(spark):
     secret = "token=abcdef0123456789abcdef"
     texts = [f"a {secret} b 😀 {secret}{secret} c", "clean", "", None, secret]
     rows = secrets.scan(texts_of(spark, texts), carry=["text", "base"])
-    spans_of = F.array_sort(F.concat("base", "added"))
-    got = {r.doc_id: r.t for r in rows.select("doc_id", secrets.redacted(F.col("carried.text"), spans_of).alias("t")).collect()}
+    rows = rows.select("doc_id", F.col("carried.text").alias("t"), F.concat("base", "added").alias("s"))
+    got = {r.doc_id: r.t for r in secrets.redacted(rows, "t", "s").collect()}
     want = {}
     for i, text in enumerate(texts):
         covered = {p for a, _, b, _ in base(text) for p in range(a, b)}
@@ -121,6 +122,52 @@ def test_redaction(spark):
     assert got == want
 
 
+@pytest.mark.parametrize("together", [1, 3, 64])
+def test_redaction_of_any_spans(spark, together):
+    """Spans that overlap, lie in each other, touch, repeat, begin or end the text; in any order."""
+    rng = random.Random(6)
+    rows = []
+    for i in range(200):
+        text = "".join(rng.choice("abé😀 ") for _ in range(rng.randint(1, 40)))
+        cuts = [sorted(rng.sample(range(len(text) + 1), 2)) for _ in range(rng.choice([0, 1, 2, 5, 12]))]
+        rows.append((i, text, [(a, 0, b, "x") for a, b in cuts]))
+    table = spark.createDataFrame(rows, f"i long, t string, s {secrets.SPAN}")
+    got = {r.i: r.t for r in secrets.redacted(table, "t", "s", mark="#", together=together).collect()}
+    for i, text, found in rows:
+        merged = []
+        for a, _, b, _ in sorted(found):
+            if merged and a < merged[-1][1]:
+                merged[-1][1] = max(merged[-1][1], b)
+            else:
+                merged.append([a, b])
+        out, at = "", 0
+        for a, b in merged:
+            out, at = out + text[at:a] + "#", b
+        assert got[i] == out + text[at:], (text, found)
+
+
+def test_many_spans_in_one_text(spark):
+    """A dump of tens of thousands of keys: each candidate and each base span is where it is, and all go."""
+    rng = random.Random(8)
+    letters = string.ascii_letters + string.digits
+    words = []
+    for i in range(12_000):
+        words += [f"{rng.getrandbits(64):016x}", "".join(rng.choice(letters) for _ in range(30)) + "1a", "plain"]
+    text = " ".join(words)
+    rows = materialized(secrets.scan(texts_of(spark, [text]), carry=["text"]))
+    found = rows.first()
+    want = base(text)
+    assert len(want) >= 12_000 and spans(found.base) == want
+    hidden = {p for a, _, b, _ in want for p in range(a, b)}
+    free = [m for m in re.finditer(secrets.CANDIDATE, text) if not any(p in hidden for p in range(*m.span()))]
+    assert set(spans(found.added)) <= {(*m.span()[:1], 3, m.end(), "random") for m in free}
+    assert len(found.added) >= 0.85 * len(free)
+    rows = rows.select("doc_id", F.col("carried.text").alias("t"), F.concat("base", "added").alias("s"))
+    left = secrets.redacted(rows, "t", "s").first().t
+    gone = len(want) + len(found.added)
+    assert left.count("[SECRET]") == gone and left.count("plain") == 12_000
+
+
 def test_no_rows(spark):
     assert secrets.scan(texts_of(spark, ["x"]).limit(0)).collect() == []
     twice = secrets.scan(spark.createDataFrame([(1, "x"), (1, "x"), (None, None)], "doc_id long, text string"))

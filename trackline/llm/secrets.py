@@ -171,6 +171,24 @@ def with_randomness(strings: Column) -> Column:
     return known
 
 
+def count_below(numbers: str, limit: Column) -> Column:
+    """How many numbers of a sorted array column are below ``limit``, by halving steps."""
+    size = F.size(numbers)
+    steps = F.when(size > 0, F.sequence(F.floor(F.log2(size)).cast("int"), F.lit(0), F.lit(-1)))
+    return F.aggregate(
+        F.coalesce(steps, F.array().cast("array<int>")),
+        F.lit(0),
+        lambda done, step: F.when(
+            F.coalesce(F.try_element_at(numbers, done + F.call_function("shiftleft", F.lit(1), step)) < limit, F.lit(False)),
+            done + F.call_function("shiftleft", F.lit(1), step),
+        ).otherwise(done),
+    )
+
+
+def _sorted(spans: Column, field: str) -> Column:
+    return F.array_sort(F.transform(spans, lambda s: s[field]))
+
+
 def _spans(places: Column, kind: str) -> Column:
     place = KINDS.index(kind)
     return F.transform(
@@ -240,8 +258,11 @@ def scan(
     )
     rows = rows.withColumn("base", F.array_sort(base))
     tested = F.zip_with("random_found", "random_places", lambda s, p: F.struct(s.alias("s"), p.alias("p")))
+    rows = rows.withColumns({"base_starts": _sorted(F.col("base"), "start"), "base_stops": _sorted(F.col("base"), "stop")})
+    # base spans begun before the candidate's end, less those over before its start, are those that overlap it
     free = F.filter(
-        tested, lambda x: ~F.exists("base", lambda b: (b["start"] < x["p"]["stop"]) & (x["p"]["start"] < b["stop"]))
+        tested,
+        lambda x: count_below("base_starts", x["p"]["stop"]) == count_below("base_stops", x["p"]["start"] + 1),
     )
     rows = rows.withColumn("free", free).withColumn("tested", with_randomness(F.col("free")))
     rows = materialized(rows.select("key", "carried", "base", "tested"))
@@ -279,28 +300,45 @@ def count_of(spans: Column, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
 
 
-def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
-    """The text with every stretch that spans cover replaced by ``mark``; spans are sorted by start."""
-    kind = "array<struct<start:bigint,stop:bigint>>"
-    covered = F.aggregate(
-        spans,
-        F.array().cast(kind),
-        lambda done, s: F.when(
-            (F.size(done) > 0) & (s["start"] < F.try_element_at(done, F.lit(-1))["stop"]),
-            F.concat(
-                F.slice(done, F.lit(1), F.size(done) - 1),
-                F.array(
-                    F.struct(
-                        F.try_element_at(done, F.lit(-1))["start"].alias("start"),
-                        F.greatest(F.try_element_at(done, F.lit(-1))["stop"], s["stop"]).alias("stop"),
-                    )
-                ),
-            ),
-        ).otherwise(F.concat(done, F.array(F.struct(s["start"].alias("start"), s["stop"].alias("stop"))))),
-    )
-    starts = F.concat(F.array(F.lit(0).cast("bigint")), F.transform(covered, lambda s: s["stop"]))
-    stops = F.concat(F.transform(covered, lambda s: s["start"]), F.array(F.length(text).cast("bigint")))
-    between = F.zip_with(
-        starts, stops, lambda a, b: F.substr(text, (a + 1).cast("int"), (b - a).cast("int"))
-    )
-    return F.when(F.size(spans) > 0, F.array_join(between, mark)).otherwise(text)
+def redacted(rows: DataFrame, text: str, spans: str, mark: str = "[SECRET]", together: int = 64) -> DataFrame:
+    """Rows with every stretch of the column ``text`` that ``spans`` cover replaced by ``mark``.
+
+    A stretch begins where no span is open and ends where none is any longer; stretches that only touch stay two.
+    Stretches are cut out ``together`` at a time from the part of the text they lie in, so that the text is
+    passed over once for that many.
+    """
+    own = {f"_{name}": name for name in ("starts", "stops", "froms", "tos", "parts")}
+    starts, stops, froms, tos, parts = own
+    rows = rows.withColumns({starts: _sorted(F.col(spans), "start"), stops: _sorted(F.col(spans), "stop")})
+
+    def idle(x: Column) -> Column:
+        return count_below(starts, x) == count_below(stops, x + 1)
+
+    begins = F.array_distinct(F.filter(starts, idle))
+    ends = F.array_distinct(F.filter(stops, idle))
+    zero, length = F.array(F.lit(0).cast("bigint")), F.array(F.length(text).cast("bigint"))
+    rows = rows.withColumns({froms: F.concat(zero, ends), tos: F.concat(begins, length)})
+    # what stays lies from froms[i] to tos[i]
+    blocks = F.sequence(F.lit(0), F.floor((F.size(froms) - 1) / together).cast("int"))
+
+    def cut(block: Column) -> Column:
+        some = F.zip_with(
+            F.slice(froms, block * together + 1, F.lit(together)),
+            F.slice(tos, block * together + 1, F.lit(together)),
+            lambda a, b: F.struct(a.alias("a"), b.alias("b")),
+        )
+        first = F.element_at(froms, block * together + 1)
+        last = F.element_at(tos, F.least((block + 1) * together, F.size(tos)))
+        part = F.substr(text, (first + 1).cast("int"), (last - first).cast("int"))
+        return F.struct(first.alias("first"), part.alias("part"), some.alias("some"))
+
+    def kept(block: Column) -> Column:
+        pieces = F.transform(
+            block["some"],
+            lambda x: F.substr(block["part"], (x["a"] - block["first"] + 1).cast("int"), (x["b"] - x["a"]).cast("int")),
+        )
+        return F.array_join(pieces, mark)
+
+    rows = rows.withColumn(parts, F.when(F.size(spans) > 0, F.transform(blocks, cut)))
+    done = F.when(F.size(spans) > 0, F.array_join(F.transform(parts, kept), mark)).otherwise(F.col(text))
+    return rows.withColumn(text, done).drop(*own)
