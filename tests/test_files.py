@@ -2,9 +2,12 @@
 
 import gzip
 
+import pandas as pd
 import pytest
 from conftest import rows
 
+from check import connect, differences
+from trackline import plans
 from trackline.session import materialized, scratch_dir
 from trackline.sources import readers, writers
 
@@ -31,6 +34,47 @@ def test_csv_append_in_another_encoding(spark, tmp_path):
     assert raw.count("机场".encode("GBK")) == 2
 
 
+@pytest.fixture
+def plain_session(spark):
+    """A session that was made without the defaults of trackline.session."""
+    other = spark.newSession()
+    other.conf.set("spark.sql.legacy.javaCharsets", "false")
+    return other
+
+
+def test_csv_append_in_a_session_without_the_defaults(plain_session, sf_dir):
+    got = plans.QUERIES["csv_append"](plain_session, sf_dir).toPandas()
+    assert differences(got, connect(sf_dir).sql(plans.ORACLE["csv_append"]).df()) is None
+
+
+def test_csv_append_of_odd_events(plain_session, tmp_path):
+    kinds = ["view", "", " ", "tail ", "\ttab\t", 'a"b', "a,b", "back\\", "a\nb", "a\r\nb", "机场", None, "no id"]
+    ids = pd.array([*range(-6, len(kinds) - 7), None], "Int64")
+    pd.DataFrame({"event_id": ids, "event_type": kinds}).to_parquet(tmp_path / "events.parquet")
+    got = plans.QUERIES["csv_append"](plain_session, str(tmp_path)).toPandas()
+    assert differences(got, connect(str(tmp_path)).sql(plans.ORACLE["csv_append"]).df()) is None
+
+
+def test_a_dotted_name_in_another_encoding(plain_session, tmp_path):
+    df = plain_session.createDataFrame([(1, " 机场 ")], "id INT, `a.b` STRING")
+    writers.write_csv(df, str(tmp_path / "out"), encoding="GBK")
+    got = readers.read_csv(plain_session, str(tmp_path / "out"), "id INT, b STRING", encoding="GBK")
+    assert rows(got) == [(" 机场 ", 1)]
+
+
+def test_a_file_in_another_encoding_is_read_without_the_defaults(plain_session, tmp_path):
+    (tmp_path / "in.csv").write_text("id,name,x\n1,机场,2.5\n", encoding="GBK")
+    got = readers.read_csv(plain_session, str(tmp_path / "in.csv"), SCHEMA, encoding="GBK")
+    assert rows(got) == [(1, "机场", 2.5)]
+
+
+@pytest.mark.parametrize("encoding", ["GBK", "ISO-8859-1"])
+def test_what_an_encoding_lacks_is_an_error(plain_session, tmp_path, encoding):
+    df = plain_session.createDataFrame([(1, "😀", 1.0)], SCHEMA)
+    with pytest.raises(Exception, match="MALFORMED_CHARACTER_CODING"):
+        writers.write_csv(df, str(tmp_path / "out"), encoding=encoding)
+
+
 def test_gzipped_csv_under_a_glob(spark, tmp_path):
     for day in ("a.csv", "b.csv"):
         (tmp_path / day).mkdir()

@@ -25,6 +25,20 @@ def session(app: str = "trackline", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+def allow_encoding(spark: SparkSession, encoding: str) -> None:
+    """Let the files of any session, also one without the defaults, be in an encoding such as GBK.
+
+    The setting stays on, as files are decoded only when their rows are used; all it does is
+    lift an error.
+    """
+    if not is_unicode(encoding):
+        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+
+
+def is_unicode(encoding: str) -> bool:
+    return encoding.lower().startswith("utf")
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """A fresh folder under the cluster's shared checkpoint folder.
 

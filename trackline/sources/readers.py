@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trackline.session import allow_encoding
+
 # Place of each field in a record of the state feed (fixed values).
 STATE_FIELDS = {
     "id": (0, "string"),
@@ -37,13 +39,21 @@ def read_csv(
     *,
     spread: int | None = None,
     encoding: str = "UTF-8",
+    multi_line: bool = False,
 ) -> DataFrame:
     """CSV with a header line; globs and gzip allowed.
 
-    A gzip file is read by one task however large it is; ``spread`` deals its rows out to
-    that many partitions.
+    Texts with line breaks need ``multi_line``. With it, or if it is gzip, a file is read by one
+    task however large it is; ``spread`` deals its rows out to that many partitions.
     """
-    rows = spark.read.schema(schema).option("header", True).option("encoding", encoding).csv(paths)
+    allow_encoding(spark, encoding)
+    rows = (
+        spark.read.schema(schema)
+        .option("header", True)
+        .option("encoding", encoding)
+        .option("multiLine", multi_line)
+        .csv(paths)
+    )
     return rows.repartition(spread) if spread else rows
 
 

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
+
+from trackline.session import allow_encoding, is_unicode
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -19,11 +22,20 @@ def write_csv(
 ) -> None:
     """CSV with a header line per file, perhaps as gzip; ``mode="append"`` adds files to a folder.
 
-    An ``encoding`` outside Unicode, such as GBK, needs ``spark.sql.legacy.javaCharsets``,
-    which ``trackline.session`` turns on.
+    White space at the ends of texts is kept. A character that an ``encoding`` outside Unicode,
+    such as GBK, does not have is an error; Spark itself would write a question mark.
     """
-    df.write.mode(mode).option("header", True).option("encoding", encoding).csv(
-        path, compression=compression
+    if not is_unicode(encoding):
+        allow_encoding(df.sparkSession, encoding)
+        texts = [field.name for field in df.schema if isinstance(field.dataType, StringType)]
+        df = df.withColumns({c: F.decode(F.encode(f"`{c}`", encoding), encoding) for c in texts})
+    (
+        df.write.mode(mode)
+        .option("header", True)
+        .option("encoding", encoding)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path, compression=compression)
     )
 
 
