@@ -1,14 +1,16 @@
 """The main trip of each route: the one with the least total edit distance to the others.
 
-Comparing all pairs of trips on a busy route does not scale, so trips are ruled out in rounds.
-Equal sequences are counted, not compared. A lower bound of each trip's total comes from how many
+Equal sequences are counted, not compared. On routes with few sequences by the number that one can be
+measured against, all pairs are measured, each once: in blocks of sequences, any two of which are a piece of work of
+its own (``pair_sums``). On busier routes trips are ruled out in rounds first. A lower bound of each trip's total comes from how many
 trips of the route pass each cell, and from the lengths. In each round the few trips with the
 smallest bounds are measured against all that have not been measured before. That gives their exact
 totals, and it raises the bounds of all others: by what each distance exceeds its part of the bound,
 and by the triangle inequality, as d(i, k) >= |d(p, i) - d(p, k)| makes total(i) >= |n d(p, i) -
-total(p)|. A trip whose bound exceeds the best total so far is out. Rounds grow until no trip is
-left, so the result is exact, ties included. A trip once measured is not met again in later rounds, so
-that even where all are about equally far apart, hardly more than half of the ordered pairs are.
+total(p)|. A trip whose bound exceeds the best total so far is out. Rounds grow as long as each of them
+halves the pairs that are left to measure; what they leave is measured in blocks. So the result is exact, ties included.
+A trip once measured is not met again in later rounds, so that even where all are about equally far
+apart, hardly more than half of the ordered pairs are.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from trackline.operators import pair_sums
 from trackline.operators.routes import ROUTE
 from trackline.operators.tracks import ORDER, TRIP
 from trackline.session import materialized
@@ -25,6 +28,10 @@ from trackline.session import materialized
 PIVOTS = 8  # in the first round, then twice as many each time
 MOST_PIVOTS = 512
 SALTS = 32  # parts of a busy route
+MEASURED = 32_768  # pairs per sequence of a route that are measured without any round before
+SMALL_ROUTE = 128  # sequences that are joined with each other
+BLOCK, BLOCK_CELLS = 4096, 1_000_000  # sequences of a block and their cells
+MOST_TASKS = 2000
 WIDE = "\x01"  # stands before each cell of a route with more cells than there are characters
 FIRST_SYMBOL = 0x100
 SURROGATES, SURROGATE_COUNT = 0xD800, 0x800
@@ -143,40 +150,52 @@ def route_medoid(
     *,
     route: Sequence[str] = ROUTE,
     pivots: int = PIVOTS,
+    measured: int = MEASURED,
     log: list[int] | None = None,
 ) -> DataFrame:
     """The trips with the least total edit distance on their route, ties kept.
 
-    Adds ``total``, the sum of distances to all trips of the route. ``log`` receives how many
-    distances each round has measured.
+    Adds ``total``, the sum of distances to all trips of the route. Rounds serve routes where more than
+    ``measured`` pairs per sequence are left. ``log`` receives how many distances each step has measured.
     """
     route = list(route)
-    sequences = materialized(coded.groupBy(*route, "code").agg(F.count(F.lit(1)).alias("w")))
+    counted = coded.filter("code IS NOT NULL").groupBy(*route, "code").agg(F.count(F.lit(1)).alias("w"))
+    sequences = materialized(counted)
     whole = sequences.groupBy(*route).agg(F.sum("w").alias("_n"))
-    bounds = _bounded(sequences, route).select(*route, "code", "_bound")
     # _known: distances to the trips measured so far, added up; _least: by triangles
-    left = materialized(
-        sequences.join(bounds, [*route, "code"], "left")
-        .join(whole, route)
-        .select(
-            *route,
-            *("code", "w", "_n"),
-            F.coalesce("_bound", F.lit(0)).cast("double").alias("_bound"),
-            _long(0).alias("_known"),
-            _long(0).alias("_least"),
-        )
+    left = sequences.join(whole, route).select(
+        *route,
+        *("code", "w", "_n"),
+        F.lit(0.0).alias("_bound"),
+        _long(0).alias("_known"),
+        _long(0).alias("_least"),
     )
-    totals = None
+    totals = before = None
     while True:
-        chosen = materialized(_chosen(left, totals, route, pivots))
-        if chosen.isEmpty():
+        marked = _marked(left, totals, route)
+        sizes = materialized(_sizes(marked, before, route, measured))
+        ready, busy = sizes.filter("_ready"), sizes.filter("NOT _ready")
+        done = sizes.agg(*[F.sum(F.when(F.col("_ready"), F.col(c))).alias(c) for c in ("_pairs", "_units")]).first()
+        if done["_pairs"] is not None:
+            found = materialized(_all_pairs(marked, ready, route, int(done["_units"])))
+            totals = found if totals is None else totals.unionByName(found)
+            if log is not None:
+                log.append(int(done["_pairs"]))
+        if busy.isEmpty():
             break
-        measured = materialized(_measured(left, chosen, route))
+        left = left.join(busy.select(*route), route, "left_semi")
+        if before is None:
+            bounds = _bounded(left.select(*route, "code", "w"), route).select(*route, "code", "_bound")
+            left = left.drop("_bound").join(bounds, [*route, "code"], "left")
+            left = materialized(left.withColumn("_bound", F.coalesce("_bound", F.lit(0)).cast("double")))
+        before = busy.select(*route, F.col("_pairs").alias("_before"))
+        chosen = materialized(_chosen(left, totals, route, pivots))
+        distances = materialized(_measured(left, chosen, route))
         if log is not None:
-            log.append(measured.agg(F.sum(F.size("_d"))).first()[0])
-        found = materialized(_totals(measured, chosen, route, pivots))
+            log.append(distances.agg(F.sum(F.size("_d"))).first()[0])
+        found = materialized(_totals(distances, chosen, route, pivots))
         totals = found if totals is None else totals.unionByName(found)
-        left = materialized(_raised(measured, found, route))
+        left = materialized(_raised(distances, found, route))
         pivots = min(2 * pivots, MOST_PIVOTS)
     if totals is None:
         return coded.withColumn("total", _long(0)).limit(0)
@@ -184,6 +203,104 @@ def route_medoid(
     return coded.join(totals.join(best, [*route, "total"]), [*route, "code"])
 
 
+def _marked(left: DataFrame, totals: DataFrame | None, route: list[str]) -> DataFrame:
+    """Add ``_open``: whether the bound does not exceed the best total."""
+    if totals is None:
+        return left.withColumn("_open", F.lit(True))
+    best = totals.groupBy(*route).agg(F.min("total").alias("_best"))
+    is_open = F.coalesce(_lower() <= F.col("_best"), F.lit(True))
+    return left.join(best, route, "left").withColumn("_open", is_open).drop("_best")
+
+
+def _sizes(
+    marked: DataFrame, before: DataFrame | None, route: list[str], measured: int
+) -> DataFrame:
+    """Per route the pairs that are left to measure, the blocks for it, and whether it is time for that."""
+    cells = F.length("code").cast("bigint")
+    sizes = marked.groupBy(*route).agg(
+        F.count(F.lit(1)).alias("_left"),
+        F.count_if("_open").alias("_open_left"),
+        F.sum(F.when(F.col("_open"), cells).otherwise(0)).alias("_open_cells"),
+        F.sum(cells).alias("_cells"),
+    )
+    rest, rest_cells = F.col("_left") - F.col("_open_left"), F.col("_cells") - F.col("_open_cells")
+
+    def blocks(rows: Column, cells: Column) -> Column:
+        return F.greatest(F.ceil(rows / BLOCK), F.least(rows, F.ceil(cells / BLOCK_CELLS)))
+
+    sizes = sizes.withColumns(
+        {
+            "_pairs": F.col("_open_left") * rest + F.expr("_open_left * (_open_left - 1) div 2"),
+            "_blocks": blocks(F.col("_open_left"), F.col("_open_cells")),
+            "_rest_blocks": blocks(rest, rest_cells),
+        }
+    )
+    is_ready = F.col("_pairs") <= F.col("_left") * measured
+    if before is not None:
+        sizes = sizes.join(before, route)
+        is_ready |= 2 * F.col("_pairs") > F.col("_before")
+    units = F.expr("_blocks * (_blocks + 1) div 2 + _blocks * _rest_blocks")
+    return sizes.select(
+        *route, "_left", "_pairs", "_blocks", "_rest_blocks", units.alias("_units"), is_ready.alias("_ready")
+    )
+
+
+def _all_pairs(marked: DataFrame, sizes: DataFrame, route: list[str], units: int) -> DataFrame:
+    """Exact totals of the open sequences of the given routes."""
+    sized = marked.join(sizes.select(*route, "_left", "_blocks", "_rest_blocks"), route)
+    is_small = F.col("_left") <= SMALL_ROUTE
+    small, large = sized.filter(is_small), sized.filter(~is_small)
+    others = small.select(*route, F.col("code").alias("_code"), F.col("w").alias("_w"))
+    apart = code_distance(F.col("code"), F.col("_code"))
+    joined = (
+        small.filter("_open")
+        .join(others, route)
+        .select(*route, "code", (F.col("_w") * apart).alias("total"))
+    )
+    known = sized.filter("_open").select(*route, "code", F.col("_known").alias("total"))
+    parts = _block_sums(large, route, units)
+    return (
+        known.unionByName(joined)
+        .unionByName(parts)
+        .groupBy(*route, "code")
+        .agg(F.sum("total").alias("total"))
+    )
+
+
+def _block_sums(large: DataFrame, route: list[str], units: int) -> DataFrame:
+    """Parts of the totals of the open sequences, from every two blocks that meet.
+
+    Open sequences are dealt into blocks of their own, and any two of these meet once; the others
+    meet the open ones only.
+    """
+    blocks, rest, block = F.col("_blocks"), F.col("_rest_blocks"), F.col("_block")
+    none = F.array().cast("array<struct<one:bigint,two:bigint,mixed:boolean>>")
+
+    def pieces(n: Column, piece: Callable[[Column], tuple[Column, Column]], mixed: bool) -> Column:
+        def made(k: Column) -> Column:
+            one, two = piece(k)
+            return F.struct(one.alias("one"), two.alias("two"), F.lit(mixed).alias("mixed"))
+
+        return F.when(n > 0, F.transform(F.sequence(_long(0), n - 1), made)).otherwise(none)
+
+    among = pieces(blocks, lambda k: (F.least(k, block), F.greatest(k, block)), False)
+    met = F.when(F.col("_open"), F.concat(among, pieces(rest, lambda k: (block, k), True)))
+    met = met.otherwise(pieces(blocks, lambda k: (k, block), True))
+    keys = [*route, "_one", "_two", "_mixed"]
+    # few bytes mean much work, so the number of tasks must not follow the bytes
+    tasks = int(large.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(tasks, min(units, MOST_TASKS))
+    dealt = (
+        large.withColumn("_block", F.pmod(F.xxhash64("code"), F.when(F.col("_open"), blocks).otherwise(rest)))
+        .select(*route, "code", "w", "_open", "_block", F.explode(met).alias("_met"))
+        .select("*", *[F.col(f"_met.{c}").alias(f"_{c}") for c in ("one", "two", "mixed")])
+        .drop("_met")
+        .repartition(tasks, *keys)
+    )
+    schema = large.select(*route, "code", F.col("w").alias("total")).schema
+    return dealt.groupBy(*keys).applyInArrow(pair_sums.of_blocks(route, WIDE), schema)
+
+
 def _long(value: int) -> Column:
     return F.lit(value).cast("bigint")
 
@@ -198,9 +315,7 @@ def _lower() -> Column:
 
 def _chosen(left: DataFrame, totals: DataFrame | None, route: list[str], pivots: int) -> DataFrame:
     """Per route the trips to measure next: the smallest bounds that do not exceed the best total."""
-    if totals is not None:
-        best = totals.groupBy(*route).agg(F.min("total").alias("_best"))
-        left = left.join(best, route).filter(_lower() <= F.col("_best"))
+    left = _marked(left, totals, route).filter("_open").drop("_open")
     # the smallest of a route are found within hashed parts of it first
     order = [_lower(), F.col("code")]
     part = Window.partitionBy(*route, "_salt").orderBy(*order)
