@@ -77,6 +77,24 @@ def test_volumes_at_many_times(spark):
     assert none.count() == 0
 
 
+def test_volumes_of_counted_events(spark, shared):
+    """Events that are counted already give the same; no more rows are sorted than there are places, labels and times."""
+    events = spark.range(3000).select((F.col("id") % 3).cast("string").alias("name"), F.lit(1).alias("type"), (F.col("id") % 40).cast("double").alias("t"))
+    times = spark.range(0, 50, 7).select(F.col("id").cast("double").alias("at"))
+    counted = events.groupBy("name", "type", "t").agg(F.count(F.lit(1)).alias("trips"))
+    sorted_rows = []
+    hot = report.slices.hot_keys
+
+    def seen(both, *args):
+        sorted_rows.append(both.count())
+        return hot(both, *args)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(report.slices, "hot_keys", seen)
+        assert rows(report.volume_series(events, times)) == rows(report.volume_series(counted, times, n="trips"))
+    assert sorted_rows == [120 + 8] * 2
+
+
 def test_volumes_do_not_depend_on_slices(spark):
     from trackline.operators import slices
     from trackline.session import materialized

@@ -95,11 +95,13 @@ def volume_series(
     label: str = "type",
     t: str = "t",
     at: str = "at",
+    n: str | None = None,
     hot: DataFrame | None = None,
 ) -> DataFrame:
     """Events per place and label before each of many times, in one pass over the events.
 
-    ``times`` has a column ``at``. An event counts from the first of the times after it; those
+    ``times`` has a column ``at``. A row of ``events`` counts ``n`` times if that column is named; those of
+    one place, label and time are added up before anything is sorted. An event counts from the first of the times after it; those
     counts are added up along the times of a place. Places have rows from their first event on.
     An event without a time counts nowhere.
     """
@@ -107,8 +109,12 @@ def volume_series(
     every = Window.orderBy(at)  # the times of a report, not of the events
     known = materialized(known.withColumn("_slot", F.row_number().over(every)))
     marks = known.select(F.col(at).alias("_t"), F.lit(0).alias("_kind"), "_slot")
-    rows = events.filter(F.col(t).isNotNull()).select(
-        F.col(t).cast("double").alias("_t"), F.lit(1).alias("_kind"), name, label
+    rows = (
+        events.filter(F.col(t).isNotNull())
+        .select(F.col(t).cast("double").alias("_t"), name, label, F.lit(1) if n is None else F.col(n))
+        .toDF("_t", name, label, "_n")
+        .groupBy("_t", name, label)
+        .agg(F.sum("_n").alias("_n"), F.lit(1).alias("_kind"))
     )
     both = marks.unionByName(rows, allowMissingColumns=True).withColumn("_all", F.lit(0))
     both = materialized(both)
@@ -123,7 +129,7 @@ def volume_series(
         slices.per_key(both, "_t", hot, compute)
         .filter((F.col("_kind") == 1) & F.col("_first").isNotNull())
         .groupBy(name, label, "_first")
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg(F.sum("_n").alias("_n"))
     )
     along = Window.partitionBy(name, label).orderBy("_first")
     last = known.agg(F.max("_slot")).scalar()

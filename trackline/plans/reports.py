@@ -194,9 +194,10 @@ SQL["sliders"] = ("routes", "SELECT DISTINCT t AS moment FROM routes WHERE CAST(
 )
 def _volume_series(i: Inputs) -> DataFrame:
     """Volumes of all places at several hundred positions of the slider."""
-    ends = i.routes().select(F.explode(F.array("start", "end")).alias("name"), "type", "t")
-    sliders = i.routes().filter((F.col("t") / 86400).cast("bigint") % 5 == 0)
-    return report.volume_series(ends, sliders.select(F.col("t").alias("moment")), at="moment")
+    counted = materialized(i.routes().groupBy("start", "end", "type", "t").agg(F.count(F.lit(1)).alias("trips")))
+    ends = counted.select(F.explode(F.array("start", "end")).alias("name"), "type", "t", "trips")
+    sliders = counted.filter((F.col("t") / 86400).cast("bigint") % 5 == 0)
+    return report.volume_series(ends, sliders.select(F.col("t").alias("moment")), at="moment", n="trips")
 
 
 @query(

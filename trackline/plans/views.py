@@ -97,23 +97,22 @@ class Inputs:
         target = nation.select(
             F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("end")
         )
-        return (
-            self.table("lineitem")
-            .select("l_orderkey", "l_suppkey", "l_returnflag", "l_shipdate")
+        # the small tables meet first, so that the line items are dealt out for two joins only
+        origins = (
+            self.table("orders")
+            .select("o_orderkey", "o_custkey")
             .join(
-                self.table("orders").select("o_orderkey", "o_custkey"),
-                F.col("l_orderkey") == F.col("o_orderkey"),
-            )
-            .join(
-                self.table("customer").select("c_custkey", "c_nationkey"),
+                self.table("customer").select("c_custkey", "c_nationkey").join(origin, "c_nationkey"),
                 F.col("o_custkey") == F.col("c_custkey"),
             )
-            .join(
-                self.table("supplier").select("s_suppkey", "s_nationkey"),
-                F.col("l_suppkey") == F.col("s_suppkey"),
-            )
-            .join(origin, "c_nationkey")
-            .join(target, "s_nationkey")
+            .select("o_orderkey", "start")
+        )
+        targets = self.table("supplier").select("s_suppkey", "s_nationkey").join(target, "s_nationkey")
+        return (
+            self.table("lineitem")
+            .select("l_orderkey", "l_suppkey", "l_returnflag", "l_shipdate")
+            .join(origins, F.col("l_orderkey") == F.col("o_orderkey"))
+            .join(targets.select("s_suppkey", "end"), F.col("l_suppkey") == F.col("s_suppkey"))
             .select(
                 "start",
                 "end",
